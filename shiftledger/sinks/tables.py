@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 from .. import schemas as S
 from ..sources.tables import is_path
@@ -40,7 +40,9 @@ def _guarded(df: DataFrame, schema: StructType) -> DataFrame:
     """
 
     def column(field):
-        value = F.col(field.name).cast(field.dataType)
+        value = F.col(field.name)
+        if not isinstance(field.dataType, ArrayType):
+            value = value.cast(field.dataType)
         if field.nullable:
             return value.alias(field.name)
         message = F.lit(f"required column holds NULL: {field.name}")
