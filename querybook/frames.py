@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, TimestampType
@@ -10,29 +12,41 @@ from shiftledger.operators import validate_records
 from shiftledger.plans.operations import kpi_of_staged
 from shiftledger.plans.staging import stg_shift_logs
 from shiftledger.session import new_folder
-from shiftledger.sinks import write_validated
+from shiftledger.sinks import write_raw, write_validated
 
 from .fx import NAMESPACE, shift_logs
 
 # rows of one CSV file of the file queries, in units of row_number
 CHUNK = 15_000
 
-_validated_tables: dict[tuple[str, str], str] = {}
+_tables: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, layer: str, write: Callable[[str], None]) -> DataFrame:
+    """A table written once per session: later steps read a table, not the chain behind it."""
+    key = (spark.sparkContext.applicationId, sf_dir, layer)
+    if key not in _tables:
+        path = new_folder(spark, layer)
+        write(path)
+        _tables[key] = path
+    return spark.read.parquet(_tables[key])
+
+
+def stored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table over all shift logs."""
+    return _stored(spark, sf_dir, "raw", lambda p: write_raw(shift_logs(spark, sf_dir), p))
 
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All shift logs validated, as an unstored plan."""
-    return validate_records(shift_logs(spark, sf_dir), NAMESPACE)
+    """All raw records validated, as an unstored plan."""
+    return validate_records(stored_raw(spark, sf_dir), NAMESPACE)
 
 
 def stored_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The validated table, written once per session: views read a table, not the whole chain."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _validated_tables:
-        path = new_folder(spark, "validated")
-        write_validated(validated(spark, sf_dir), path)
-        _validated_tables[key] = path
-    return spark.read.parquet(_validated_tables[key])
+    """The validated table, clustered for deduplication."""
+    return _stored(
+        spark, sf_dir, "validated", lambda p: write_validated(validated(spark, sf_dir), p)
+    )
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,7 @@ from .frames import (
     kpi,
     shown,
     staged,
+    stored_raw,
     stored_validated,
     validated,
     write_csv_chunks,
@@ -135,13 +136,13 @@ def normalize_records_query(spark, sf_dir):
 
 
 def duplicate_flag(spark, sf_dir):
-    return flag_duplicates(shift_logs(spark, sf_dir)).select("row_id", "is_duplicate")
+    return flag_duplicates(stored_raw(spark, sf_dir)).select("row_id", "is_duplicate")
 
 
 def duplicate_flag_normalized(spark, sf_dir):
     """The documented variant: duplicates by normalised date, shift and line."""
     return flag_duplicates(
-        normalize_records(shift_logs(spark, sf_dir)),
+        normalize_records(stored_raw(spark, sf_dir)),
         keys=("production_date", "shift_normalized", "line_normalized"),
     ).select("row_id", "is_duplicate")
 
@@ -182,7 +183,7 @@ RULE_QUERIES = {
 def _rule_query(reason: str):
     def query(spark, sf_dir):
         if reason == S.DUPLICATE_RECORD:
-            records = flag_duplicates(shift_logs(spark, sf_dir))
+            records = flag_duplicates(stored_raw(spark, sf_dir))
         else:
             records = normalize_records(shift_logs(spark, sf_dir))
         if reason == S.PRODUCTION_DATE_INVALID:
@@ -301,7 +302,7 @@ def check_unique_combination(spark, sf_dir):
 def check_row_id_one_to_one(spark, sf_dir):
     """Raw records against the deduplicated view: every superseded record shows up."""
     return checks.row_id_one_to_one(
-        shift_logs(spark, sf_dir), validated_dedup(staged(spark, sf_dir))
+        stored_raw(spark, sf_dir), validated_dedup(staged(spark, sf_dir))
     )
 
 
