@@ -132,7 +132,7 @@ def invalid_reasons_array(spark, sf_dir):
 
 
 def normalize_records_query(spark, sf_dir):
-    return shown(normalize_records(shift_logs(spark, sf_dir)))
+    return shown(normalize_records(stored_raw(spark, sf_dir)))
 
 
 def duplicate_flag(spark, sf_dir):

@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import SHIFTS
 
 RESULT_COLUMNS = ("model", "check_name", "column_name", "failures", "status")
-_RESULT_SCHEMA = (
-    "model string, check_name string, column_name string, failures bigint, status string"
-)
+_ENTRY_SCHEMA = "model string, check_name string, column_name string, failures bigint"
 
 
 def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -142,53 +139,56 @@ def suite_size(suite: Mapping[str, dict] = SUITE) -> int:
     return sum(len(declared) for checks in suite.values() for declared in checks.values())
 
 
-def _failing_groups(failing: DataFrame, check: str, column: str) -> DataFrame:
-    return failing.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(check).alias("check_name"), F.lit(column).alias("column_name"), "failures"
-    )
+def _entry(model: str, check: str, column: Column | str, failures: Column) -> list[Column]:
+    return [
+        F.lit(model).alias("model"),
+        F.lit(check).alias("check_name"),
+        (F.lit(column) if isinstance(column, str) else column).alias("column_name"),
+        failures.cast("bigint").alias("failures"),
+    ]
 
 
-def _model_results(model: str, df: DataFrame, checks: Mapping) -> list[DataFrame]:
+def _model_results(model: str, df: DataFrame, checks: Mapping) -> tuple[list[DataFrame], list]:
+    """Result frames of one model and the entries whose column it lacks."""
     parts, absent = [], []
     known = set(df.columns)
 
     def present(check: str, *cols: str) -> bool:
         if known.issuperset(cols):
             return True
-        absent.append((model, check, ", ".join(cols), None, "column missing"))
+        absent.append((model, check, ", ".join(cols), None))
         return False
 
+    def count_groups(check: str, column: str, failing: DataFrame) -> None:
+        counted = failing.agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counted.select(*_entry(model, check, column, F.col("n"))))
+
     columns = [c for c in checks.get("not_null", ()) if present("not_null", c)]
     if columns:
+        nulls = not_null(df, columns)
         parts.append(
-            not_null(df, columns).select(
-                F.lit("not_null").alias("check_name"), "column_name", "failures"
-            )
+            nulls.select(*_entry(model, "not_null", F.col("column_name"), F.col("failures")))
         )
     for c in checks.get("unique", ()):
         if present("unique", c):
-            parts.append(_failing_groups(unique(df, c), "unique", c))
+            count_groups("unique", c, unique(df, c))
     for c, values in checks.get("accepted_values", {}).items():
         if present("accepted_values", c):
-            parts.append(_failing_groups(accepted_values(df, c, values), "accepted_values", c))
+            count_groups("accepted_values", c, accepted_values(df, c, values))
     for cols in checks.get("unique_combination", ()):
         if present("unique_combination", *cols):
-            parts.append(
-                _failing_groups(unique_combination(df, cols), "unique_combination", ", ".join(cols))
-            )
-    results = [
-        part.select(
-            F.lit(model).alias("model"),
-            "check_name",
-            "column_name",
-            F.col("failures").cast("bigint").alias("failures"),
-            F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"),
-        )
-        for part in parts
-    ]
-    if absent:
-        results.append(df.sparkSession.createDataFrame(absent, _RESULT_SCHEMA))
-    return results
+            count_groups("unique_combination", ", ".join(cols), unique_combination(df, cols))
+    return parts, absent
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """Union in a balanced tree: each step analyses its inputs again."""
+    while len(parts) > 1:
+        parts = [
+            left.union(right[0]) if right else left
+            for left, *right in (parts[i : i + 2] for i in range(0, len(parts), 2))
+        ]
+    return parts[0]
 
 
 def run_checks(frames: Mapping[str, DataFrame], suite: Mapping[str, dict] = SUITE) -> DataFrame:
@@ -198,10 +198,19 @@ def run_checks(frames: Mapping[str, DataFrame], suite: Mapping[str, dict] = SUIT
     as "column missing". Models absent from ``frames`` are skipped. All NULL checks of a model
     share one pass; every other check aggregates before it shuffles.
     """
-    results = [
-        part
-        for model, checks in suite.items()
-        if model in frames
-        for part in _model_results(model, frames[model], checks)
-    ]
-    return reduce(DataFrame.unionByName, results)
+    parts, absent = [], []
+    for model, checks in suite.items():
+        if model in frames:
+            results, lacking = _model_results(model, frames[model], checks)
+            parts += results
+            absent += lacking
+    if absent:
+        spark = next(iter(frames.values())).sparkSession
+        parts.append(spark.createDataFrame(absent, _ENTRY_SCHEMA))
+    failures = F.col("failures")
+    return _union(parts).withColumn(
+        "status",
+        F.when(failures.isNull(), F.lit("column missing"))
+        .when(failures == 0, F.lit("pass"))
+        .otherwise(F.lit("fail")),
+    )

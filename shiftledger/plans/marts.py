@@ -28,18 +28,13 @@ UPSTREAM = {
     "v_shift_log_kpi_drilldown": "shift_log_kpi",
 }
 
-_OF_STAGING = {
-    "v_dq_metrics_by_run": quality.dq_metrics_by_run,
-    "v_dq_invalid_reasons_by_run": quality.dq_invalid_reasons_by_run,
-}
-_OF_KPI = {
-    "v_manufacturing_kpi_summary": ops.kpi_summary,
-    "v_manufacturing_kpi_daily_trend": ops.kpi_daily_trend,
-    "v_manufacturing_kpi_by_line": ops.kpi_by_line,
-    "v_manufacturing_kpi_by_shift": ops.kpi_by_shift,
-    "v_downtime_reason_pareto": ops.downtime_pareto,
-    "v_line_shift_performance": ops.line_shift_performance,
-    "v_shift_log_kpi_drilldown": ops.kpi_drilldown,
+# views that are one grouping of the KPI rows -> its keys
+_GROUPINGS = {
+    "v_manufacturing_kpi_summary": (),
+    "v_manufacturing_kpi_daily_trend": ("date",),
+    "v_manufacturing_kpi_by_line": ("line",),
+    "v_manufacturing_kpi_by_shift": ("shift",),
+    "v_line_shift_performance": ("line", "shift"),
 }
 
 
@@ -58,28 +53,41 @@ def with_upstream(names: Iterable[str]) -> list[str]:
 def build_marts(validated: DataFrame, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """The views over a validated table, or the named ones with their upstream.
 
-    Deduplication is the one expensive step, and up to eight views read it. Its keyed part is
-    therefore staged once as a columnar table when more than one view needs it; every view
-    then scans only its own columns of that table.
+    Record-level views stay lazy. What several views would compute again is computed once and
+    staged as a columnar table in the shared work area: the deduplicated rows with a key, which
+    up to eight views read, and the sums of all groupings of the KPI rows. Aggregated quality
+    views are staged too, since a dashboard and the checks read them several times.
     """
     order = with_upstream(UPSTREAM if names is None else names)
     staged = stg_shift_logs(validated)
-    views: dict[str, DataFrame] = {}
-    if "shift_log_validated_dedup" in order:
-        keyed = dedup_latest(staged)
-        if len(order) > 3:
-            keyed = stage(keyed, "dedup")
-        unkeyed = staged.where(staged["shift_log_id"].isNull())
-        kpi = ops.shift_log_kpi(keyed)
-    for name in order:
+    of_kpi = [name for name in order if UPSTREAM[name] == "shift_log_kpi"]
+    groupings = [name for name in of_kpi if name in _GROUPINGS]
+
+    keyed = dedup_latest(staged)
+    if len(of_kpi) > 1:
+        keyed = stage(keyed, "dedup")
+    kpi = ops.shift_log_kpi(keyed)
+    rollups = stage(ops.kpi_rollups(kpi), "rollups") if len(groupings) > 1 else None
+
+    def view(name: str) -> DataFrame:
         if name == "stg_shift_log_validated":
-            views[name] = staged
-        elif name == "shift_log_validated_dedup":
-            views[name] = keyed.unionByName(unkeyed)
-        elif name == "shift_log_kpi":
-            views[name] = kpi
-        elif name in _OF_STAGING:
-            views[name] = _OF_STAGING[name](staged)
-        else:
-            views[name] = _OF_KPI[name](kpi)
-    return views
+            return staged
+        if name == "shift_log_validated_dedup":
+            return keyed.unionByName(staged.where(staged["shift_log_id"].isNull()))
+        if name == "v_dq_metrics_by_run":
+            return stage(quality.dq_metrics_by_run(staged), "metrics")
+        if name == "v_dq_invalid_reasons_by_run":
+            counts = stage(quality.invalid_reason_counts(staged), "reasons")
+            return quality.most_frequent_first(counts)
+        if name == "shift_log_kpi":
+            return kpi
+        if name == "v_downtime_reason_pareto":
+            return ops.downtime_pareto(kpi)
+        if name == "v_shift_log_kpi_drilldown":
+            return ops.kpi_drilldown(kpi)
+        keys = _GROUPINGS[name]
+        if rollups is not None:
+            return ops.rollup_view(rollups, *keys)
+        return ops.kpi_by(kpi, *keys) if keys else ops.kpi_summary(kpi)
+
+    return {name: view(name) for name in order}

@@ -15,6 +15,14 @@ from ..session import stage
 # megabytes) one task computes them; beyond it the distributed running total does.
 PARETO_SINGLE_TASK_REASONS = 100_000
 
+_SUMS = ("planned_output", "actual_output", "defect_qty", "downtime_min")
+_SUMMARY_NAMES = (
+    "total_planned_output",
+    "total_actual_output",
+    "total_defects",
+    "total_downtime_min",
+)
+
 
 def shift_log_kpi(dedup: DataFrame) -> DataFrame:
     """Valid rows of a deduplicated view with the three ratios.
@@ -104,11 +112,10 @@ def _ratios_of_sums(count: str, planned: str, actual: str, defects: str, downtim
 
 def kpi_by(kpi: DataFrame, *by: str) -> DataFrame:
     """Sums per group and ratios of those sums, never means of row ratios."""
-    sums = ("planned_output", "actual_output", "defect_qty", "downtime_min")
     return (
         kpi.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("shift_count"), *[F.sum(c).alias(c) for c in sums])
-        .withColumns(_ratios_of_sums("shift_count", *sums))
+        .agg(F.count(F.lit(1)).alias("shift_count"), *[F.sum(c).alias(c) for c in _SUMS])
+        .withColumns(_ratios_of_sums("shift_count", *_SUMS))
     )
 
 
@@ -131,12 +138,44 @@ def line_shift_performance(kpi: DataFrame) -> DataFrame:
 
 def kpi_summary(kpi: DataFrame) -> DataFrame:
     """One row always; without any KPI row the count is 0 and everything else NULL."""
-    names = ("total_planned_output", "total_actual_output", "total_defects", "total_downtime_min")
-    sources = ("planned_output", "actual_output", "defect_qty", "downtime_min")
     return kpi.agg(
         F.count(F.lit(1)).alias("kpi_records"),
-        *[F.sum(source).alias(name) for source, name in zip(sources, names)],
-    ).withColumns(_ratios_of_sums("kpi_records", *names))
+        *[F.sum(source).alias(name) for source, name in zip(_SUMS, _SUMMARY_NAMES)],
+    ).withColumns(_ratios_of_sums("kpi_records", *_SUMMARY_NAMES))
+
+
+_ROLLUP_KEYS = ("line", "shift", "date")
+# keys of a grouping -> its grouping id: one bit per rollup key, set where it is not grouped by
+_ROLLUP_IDS = {(): 7, ("line",): 3, ("shift",): 5, ("line", "shift"): 1, ("date",): 6}
+
+
+def kpi_rollups(kpi: DataFrame) -> DataFrame:
+    """Sums for the summary, line, shift, line and shift, and date views in a single pass.
+
+    Reading the rows is what costs, so five groupings are worth it as soon as two are wanted.
+    The result is small and meant to be staged; ``rollup_view`` takes single views from it.
+    """
+    groupings = [[F.col(c) for c in keys] for keys in _ROLLUP_IDS]
+    return kpi.groupingSets(groupings, *[F.col(c) for c in _ROLLUP_KEYS]).agg(
+        F.grouping_id().alias("grouping"),
+        F.count(F.lit(1)).alias("shift_count"),
+        *[F.sum(c).alias(c) for c in _SUMS],
+    )
+
+
+def rollup_view(rollups: DataFrame, *by: str) -> DataFrame:
+    """One view of the rollups, equal to ``kpi_by`` or, without keys, to ``kpi_summary``."""
+    rows = rollups.where(F.col("grouping") == _ROLLUP_IDS[by])
+    if not by:
+        # without any KPI row there is no group, but the summary still has its row
+        names = dict(zip(_SUMS, _SUMMARY_NAMES))
+        return rows.agg(
+            F.coalesce(F.sum("shift_count"), F.lit(0)).alias("kpi_records"),
+            *[F.sum(source).alias(name) for source, name in names.items()],
+        ).withColumns(_ratios_of_sums("kpi_records", *_SUMMARY_NAMES))
+    return rows.select(*by, "shift_count", *_SUMS).withColumns(
+        _ratios_of_sums("shift_count", *_SUMS)
+    )
 
 
 def downtime_pareto(

@@ -87,12 +87,20 @@ def dq_metrics_by_run(
     )
 
 
-def dq_invalid_reasons_by_run(staged: DataFrame) -> DataFrame:
+def invalid_reason_counts(staged: DataFrame) -> DataFrame:
     """Rows per run, file and reason; a record counts once under each of its reasons."""
     return (
         staged.select(*SCOPE, F.explode("invalid_reason").alias("reason"))
         .groupBy(*SCOPE, "reason")
         .agg(F.count(F.lit(1)).alias("rows_count"))
         .withColumnRenamed("reason", "invalid_reason")
-        .orderBy("run_id", F.desc("rows_count"))
     )
+
+
+def most_frequent_first(counts: DataFrame) -> DataFrame:
+    return counts.orderBy("run_id", F.desc("rows_count"))
+
+
+def dq_invalid_reasons_by_run(staged: DataFrame) -> DataFrame:
+    """Reason counts in the order of the view."""
+    return most_frequent_first(invalid_reason_counts(staged))

@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import uuid_v5
@@ -118,30 +118,45 @@ def _fields(text: Column, width: int) -> Column:
     return F.transform(F.array(parsed), lambda row: F.array(*[row[name] for name in names]))[0]
 
 
-def _headers(lines: DataFrame, blocks: DataFrame, usual_header: str) -> DataFrame:
-    """Per file: its header fields and whether it has irregular lines."""
+def _first_lines(lines: DataFrame, blocks: DataFrame, usual_header: str) -> tuple[DataFrame, int, int]:
+    """Per file its header line and whether it has irregular lines; header width, block count.
+
+    Almost always all files share one header, which the first pass has found by comparison.
+    Only where a file has another one is the text read once more for it.
+    """
     files = blocks.groupBy("path", "name").agg(
+        F.count(F.lit(1)).alias("n_blocks"),
         (F.sum("n_irregular") > 0).alias("irregular"),
         F.max(F.when(F.col("block") == 0, F.col("first_mid"))).alias("header_mid"),
         F.max(F.when(F.col("block") == 0, F.col("usual_mid"))).alias("usual_mid"),
     )
     usual = F.col("usual_mid").eqNullSafe(F.col("header_mid"))
-    unusual = files.where(~usual).select("path", F.col("header_mid").alias("mid"))
-    if unusual.isEmpty():
+    counts = files.agg(F.sum("n_blocks").alias("blocks"), F.count_if(~usual).alias("unusual")).first()
+    if counts.unusual == 0:
         headed = files.withColumn("header", F.lit(usual_header))
-    else:
-        others = lines.join(unusual, ["path", "mid"]).select("path", F.col("line").alias("other"))
-        headed = files.join(others, "path", "left").withColumn(
-            "header", F.coalesce("other", F.lit(usual_header))
-        )
-    headed = headed.withColumn(
-        "header", _without_cr(F.regexp_replace("header", "\\A\ufeff", ""))
+        return headed, usual_header.count(",") + 1, counts.blocks
+    unusual = files.where(~usual).select("path", F.col("header_mid").alias("mid"))
+    others = stage(
+        lines.where(F.col("block") == 0)
+        .join(_bounded(unusual, counts.unusual), ["path", "mid"])
+        .select("path", F.col("line").alias("other")),
+        "csv-other-headers",
+    )
+    commas = F.length("other") - F.length(F.replace("other", F.lit(","), F.lit("")))
+    width = max(others.agg(F.max(commas)).first()[0], usual_header.count(",")) + 1
+    headed = files.join(others, "path", "left").withColumn(
+        "header", F.coalesce("other", F.lit(usual_header))
     )
-    commas = F.length("header") - F.length(F.replace("header", F.lit(","), F.lit("")))
-    width = headed.agg(F.max(commas)).first()[0] + 1
-    fields = _fields(F.col("header"), width)
+    return headed, width, counts.blocks
+
+
+def _headers(headed: DataFrame, width: int) -> DataFrame:
+    """Per file: its header fields, stored, and whether it has irregular lines."""
+    header = _without_cr(F.regexp_replace("header", "\\A\ufeff", ""))
     return stage(
-        headed.withColumn("fields", fields).select(
+        headed.withColumn("header", header)
+        .withColumn("fields", _fields(F.col("header"), width))
+        .select(
             "path",
             "name",
             "irregular",
@@ -155,30 +170,49 @@ def _headers(lines: DataFrame, blocks: DataFrame, usual_header: str) -> DataFram
     )
 
 
-def _check_headers(headers: DataFrame, unique_names: bool) -> None:
-    """Apply the header contract to all files; each test fetches at most a few rows."""
-    bad = headers.where(
-        (F.col("header") == "") | _opens(F.col("header")) | F.contains("header", F.lit("\r"))
-    ).first()
-    if bad is not None:
-        if bad.header == "":
-            raise ValueError(f"{NO_HEADER} {bad.path}")
-        raise ValueError(f"CSV schema error: header row holds a line break: {bad.path}")
+def _check_headers(headers: DataFrame, unique_names: bool) -> Row:
+    """Apply the header contract to all files and return facts about them.
+
+    One pass counts the offenders; a single one is fetched only to name it in the error.
+    """
     required = F.array(*map(F.lit, REQUIRED_COLUMNS))
-    lacking = headers.where(F.size(F.array_except(required, "fields")) > 0).first()
-    if lacking is not None:
-        check_header(lacking.fields)
     known = F.array(*map(F.lit, SOURCE_COLUMNS))
-    extra = headers.where(F.size(F.array_except("fields", known)) > 0).first()
-    if extra is not None:
-        check_header(extra.fields)
-    if unique_names:
+    broken = _opens(F.col("header")) | F.contains("header", F.lit("\r"))
+    conditions = {
+        "empty": F.col("header") == "",
+        "broken": broken,
+        "lacking": F.size(F.array_except(required, "fields")) > 0,
+        "extra": F.size(F.array_except("fields", known)) > 0,
+    }
+    facts = headers.agg(
+        *[F.count_if(condition).alias(name) for name, condition in conditions.items()],
+        F.max(F.size("fields")).alias("width"),
+        F.bool_or("irregular").alias("any_irregular"),
+        F.bool_and("irregular").alias("all_irregular"),
+        F.count(F.lit(1)).alias("n_files"),
+    ).first()
+
+    def example(name: str) -> Row:
+        return headers.where(conditions[name]).first()
+
+    if facts.empty:
+        raise ValueError(f"{NO_HEADER} {example('empty').path}")
+    if facts.broken:
+        raise ValueError(
+            f"CSV schema error: header row holds a line break: {example('broken').path}"
+        )
+    if facts.lacking:
+        check_header(example("lacking").fields)
+    if facts.extra:
+        check_header(example("extra").fields)
+    if unique_names and facts.n_files > 1:
         same = headers.groupBy("name").count().where("count > 1").first()
         if same is not None:
             raise ValueError(
                 f"several input files are named {same['name']}; pass source_file='path' to tell "
                 "them apart by their whole path"
             )
+    return facts
 
 
 def _layout(headers: DataFrame) -> DataFrame:
@@ -405,15 +439,10 @@ def scan_shift_logs(
     lines = _lines(spark, patterns)
     usual_header = spark.read.option("lineSep", "\n").text(files[0]).first()[0]
     blocks = _block_counts(lines, usual_header)
-    headers = _headers(lines, blocks, usual_header)
-    _check_headers(headers, unique_names)
+    headed, width, n_blocks = _first_lines(lines, blocks, usual_header)
+    headers = _headers(headed, width)
+    facts = _check_headers(headers, unique_names)
     layout = _layout(headers)
-    facts = layout.agg(
-        F.max("header_width").alias("width"),
-        F.bool_or("irregular").alias("any_irregular"),
-        F.bool_and("irregular").alias("all_irregular"),
-    ).first()
-    n_blocks = blocks.count()
     parts = []
     if not facts.all_irregular:
         parts.append(_regular_records(lines, blocks, layout, n_blocks))
