@@ -26,7 +26,7 @@ WHITESPACE_RANGES = (
 WHITESPACE = "".join(chr(p) for low, high in WHITESPACE_RANGES for p in range(low, high + 1))
 # inside a regular expression character class
 WHITESPACE_CLASS = "".join(rf"\x{{{low:x}}}-\x{{{high:x}}}" for low, high in WHITESPACE_RANGES)
-_CORE = rf"(?s)\A[{WHITESPACE_CLASS}]*+(.*[^{WHITESPACE_CLASS}])"
+_NOT_BLANK = f"[^{WHITESPACE_CLASS}]"
 
 
 def strip(text: Column) -> Column:
@@ -36,7 +36,12 @@ def strip(text: Column) -> Column:
 
 def strip_to_null(text: Column) -> Column:
     """Stripped text, NULL where nothing is left."""
-    return F.get(F.regexp_extract_all(text, F.lit(_CORE), F.lit(1)), F.lit(0))
+    return F.nullif(strip(text), F.lit(""))
+
+
+def is_blank(text: Column) -> Column:
+    """True for NULL and for a text of white space only; stops at the first other character."""
+    return ~F.coalesce(text.rlike(_NOT_BLANK), F.lit(False))
 
 
 def normalize_shift(text: Column) -> Column:

@@ -10,23 +10,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.text import strip_to_null
+from ..functions.text import is_blank
 
 
 def _absent_or_below(name: str, least: int) -> Column:
     return F.coalesce(F.col(name), F.lit(least - 1)) < least
 
 
-def _raw_date_blank() -> Column:
-    return strip_to_null(F.col("date")).isNull()
-
-
 def date_missing() -> Column:
-    return _raw_date_blank()
+    return is_blank(F.col("date"))
 
 
 def date_parse_failed() -> Column:
-    return ~_raw_date_blank() & F.col("production_date").isNull()
+    return ~is_blank(F.col("date")) & F.col("production_date").isNull()
 
 
 def production_date_invalid() -> Column:

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from ..functions import assemble_reasons, shift_log_id
+from ..functions import assemble_reasons
+from ..functions.keys import key_name, uuid_digest, uuid_text
 from ..functions.reasons import any_of
 from ..schemas import PRODUCTION_DATE_INVALID
 from .duplicates import flag_duplicates
@@ -49,15 +50,16 @@ def validate_records(
 
 
 def add_shift_log_id(df: DataFrame, namespace: str | uuid.UUID) -> DataFrame:
-    """Add the business key, which does not depend on validity."""
-    return df.withColumn(
-        "shift_log_id",
-        shift_log_id(
-            namespace,
-            F.col("production_date"),
-            F.col("shift_normalized"),
-            F.col("line_normalized"),
-        ),
+    """Add the business key, which does not depend on validity.
+
+    The digest gets a column of its own: Spark keeps the two projections apart because the
+    second one mentions it several times, and both stay inside generated code.
+    """
+    name = key_name(F.col("production_date"), F.col("shift_normalized"), F.col("line_normalized"))
+    return (
+        df.withColumn("_digest", uuid_digest(namespace, name))
+        .withColumn("shift_log_id", uuid_text(F.col("_digest")))
+        .drop("_digest")
     )
 
 

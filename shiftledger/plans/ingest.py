@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.validate import validate_records
-from ..sinks.tables import write_raw, write_validated
+from ..session import stage
+from ..sinks.csv_export import export_raw, export_validated
+from ..sinks.tables import DESTINATIONS, write_raw, write_validated
 from ..sources.shift_csv import make_run_id, read_shift_logs
 from ..sources.tables import TableNames, read_table
 
@@ -24,15 +26,26 @@ def run_ingest(
     mode: str = "append",
     ingested_at: datetime | None = None,
     source_file: str = "name",
+    dest: str = "table",
     **duplicate_options,
 ) -> DataFrame:
     """Ingest files as one run and return the validated records of that run.
 
     The raw table is written first and read back, so both tables hold the same rows and the
-    later steps scan columns instead of parsing text again.
+    later steps scan columns instead of parsing text again. With ``dest="local"`` both layers
+    become CSV exports in the folder ``tables.base``, named after the first input.
     """
+    if dest not in DESTINATIONS:
+        raise ValueError(f"Invalid output: {dest}. Supported outputs are 'table' and 'local'.")
     run_id = run_id or make_run_id()
     raw = read_shift_logs(spark, paths, namespace, run_id, ingested_at, source_file)
+    if dest == "local":
+        first = paths if isinstance(paths, str) else paths[0]
+        raw = stage(raw, "raw")
+        validated = stage(validate_records(raw, namespace, **duplicate_options), "validated")
+        export_raw(raw, tables.base, first)
+        export_validated(validated, tables.base, first)
+        return validated
     write_raw(raw, tables.raw, mode)
     of_run = F.col("run_id") == run_id
     stored = read_table(spark, tables.raw).where(of_run)

@@ -13,6 +13,7 @@ from ..sources.tables import is_path
 from .csv_export import export_csv
 
 DESTINATIONS = ("table", "local")
+CLUSTERINGS = ("local", "range")
 
 
 def disposition(write_mode: str | None) -> str:
@@ -61,23 +62,36 @@ def _save(df: DataFrame, table: str, mode: str) -> None:
         writer.saveAsTable(table)
 
 
-def _clustered(df: DataFrame, *cols: str) -> DataFrame:
-    """Range-partition and sort, so row groups cover narrow key ranges.
+def _clustered(df: DataFrame, cols: Sequence[str], cluster: str) -> DataFrame:
+    """Sort rows by key, within the tasks they are in or over the whole table.
 
-    The unique ``row_id`` is part of the range, so neither a key with very many rows nor the
-    rows without a key end up in one task.
+    ``local`` shuffles nothing: the row groups of each file cover narrow key ranges. Reading
+    the latest record per key exchanges rows by key anyway, so it gains little from more.
+    ``range`` also cuts the table into key ranges, for lookups by key that then open one file;
+    it costs a shuffle of all rows and a second run of the input to find the ranges. The unique
+    ``row_id`` is part of the range, so neither a key with very many rows nor the rows without
+    a key end up in one task.
     """
-    return df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-
-
-def _put(df: DataFrame, schema: StructType, table: str, mode: str, dest: str, cluster=()) -> None:
-    if dest not in DESTINATIONS:
-        raise ValueError(f"Invalid output: {dest}. Supported outputs are 'table' and 'local'.")
+    if cluster not in CLUSTERINGS:
+        raise ValueError(f"unknown clustering: {cluster}")
+    ranged = df.repartitionByRange(*cols) if cluster == "range" else df
+    return ranged.sortWithinPartitions(*cols)
+
+
+def _put(
+    df: DataFrame,
+    schema: StructType,
+    table: str,
+    mode: str,
+    dest: str,
+    sort_by: Sequence[str] = (),
+    cluster: str = "local",
+) -> None:
     if dest == "local":
         export_csv(df, schema.names, table)
         return
     guarded = _guarded(df, schema)
-    _save(_clustered(guarded, *cluster) if cluster else guarded, table, mode)
+    _save(_clustered(guarded, sort_by, cluster) if sort_by else guarded, table, mode)
 
 
 def write_raw(df: DataFrame, table: str, mode: str = "append", dest: str = "table") -> None:
@@ -85,11 +99,29 @@ def write_raw(df: DataFrame, table: str, mode: str = "append", dest: str = "tabl
     _put(df, S.RAW_SCHEMA, table, mode, dest)
 
 
-def write_validated(df: DataFrame, table: str, mode: str = "append", dest: str = "table") -> None:
-    """Validated records, clustered for the deduplication view."""
-    _put(df, S.VALIDATED_SCHEMA, table, mode, dest, ("shift_log_id", "ingested_at", "row_id"))
+def write_validated(
+    df: DataFrame,
+    table: str,
+    mode: str = "append",
+    dest: str = "table",
+    cluster: str = "local",
+) -> None:
+    """Validated records, sorted for the deduplication view.
 
-
-def write_kpi(df: DataFrame, table: str, mode: str = "append", dest: str = "table") -> None:
-    """KPI rows, clustered by business key, which is unique among them."""
-    _put(df, S.KPI_SCHEMA, table, mode, dest, ("shift_log_id",))
+    Only here an unknown destination is an error; the other tables take it for ``table``.
+    """
+    if dest not in DESTINATIONS:
+        raise ValueError(f"Invalid output: {dest}. Supported outputs are 'table' and 'local'.")
+    sort_by = ("shift_log_id", "ingested_at", "row_id")
+    _put(df, S.VALIDATED_SCHEMA, table, mode, dest, sort_by, cluster)
+
+
+def write_kpi(
+    df: DataFrame,
+    table: str,
+    mode: str = "append",
+    dest: str = "table",
+    cluster: str = "local",
+) -> None:
+    """KPI rows, sorted by business key, which is unique among them."""
+    _put(df, S.KPI_SCHEMA, table, mode, dest, ("shift_log_id",), cluster)

@@ -71,6 +71,19 @@ def test_ingest_end_to_end(spark, tmp_path):
     assert read_table(spark, tables.raw).count() == 3
 
 
+def test_ingest_to_csv(spark, tmp_path):
+    path = tmp_path / "log.csv"
+    path.write_text(HEADER + "\n2026-01-05,A,Line1,100,95,2,10,Cleaning,John,Google Form\n")
+    out = TableNames(str(tmp_path / "out"))
+    validated = run_ingest(spark, str(path), out, NAMESPACE, run_id="r", dest="local")
+    assert validated.count() == 1
+    raw, checked = (read_export(tmp_path / "out" / f"log_{x}") for x in ("raw", "validated"))
+    assert raw[0]["row_id"] == checked[0]["row_id"]
+    assert (checked[0]["is_valid"], checked[0]["invalid_reason"]) == ("true", "[]")
+    with pytest.raises(ValueError, match="Invalid output"):
+        run_ingest(spark, str(path), out, NAMESPACE, dest="cloud")
+
+
 def test_truncate_and_append(spark, tmp_path):
     assert (disposition("truncate"), disposition("append"), disposition(None)) == (
         "overwrite",
@@ -96,6 +109,18 @@ def test_schemas_of_stored_tables(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "k")).columns == S.KPI_SCHEMA.names
 
 
+def test_clusterings(spark, tmp_path):
+    validated = validated_logs(spark, *[{"line": f"L{i % 50}", "date": None if i % 3 else "2026-01-05"} for i in range(300)])
+    seen = []
+    for cluster in ("local", "range"):
+        path = str(tmp_path / cluster)
+        write_validated(validated, path, cluster=cluster)
+        seen.append(sorted(map(str, spark.read.parquet(path).collect())))
+    assert seen[0] == seen[1] and len(seen[0]) == 300
+    with pytest.raises(ValueError, match="clustering"):
+        write_validated(validated, str(tmp_path / "x"), cluster="zone")
+
+
 def test_catalog_table(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS logs_db LOCATION '{tmp_path}/db'")
     try:
