@@ -320,14 +320,14 @@ def required_columns(spark, sf_dir):
 
 
 def csv_scan(spark, sf_dir):
-    pattern = write_csv_chunks(shift_logs(spark, sf_dir), new_folder(spark, "csv"), SOURCE)
+    pattern = write_csv_chunks(stored_raw(spark, sf_dir), new_folder(spark, "csv"), SOURCE)
     scanned = scan_shift_logs(spark, pattern, unique_names=False)
     return scanned.select(chunk_of("path").alias("chunk"), "row_number", *SOURCE)
 
 
 def header_contract(spark, sf_dir):
     """Files with different column orders and a column nobody expects."""
-    logs = shift_logs(spark, sf_dir).withColumn("note", F.lit("ignored"))
+    logs = stored_raw(spark, sf_dir).withColumn("note", F.lit("ignored"))
     even = F.col("row_number") % 2 == 0
     patterns = [
         write_csv_chunks(logs.where(even), new_folder(spark, "csv-even"), SOURCE),
@@ -343,7 +343,7 @@ def header_contract(spark, sf_dir):
 
 
 def fill_optional(spark, sf_dir):
-    pattern = write_csv_chunks(shift_logs(spark, sf_dir), new_folder(spark, "csv"), REQUIRED)
+    pattern = write_csv_chunks(stored_raw(spark, sf_dir), new_folder(spark, "csv"), REQUIRED)
     scanned = scan_shift_logs(spark, pattern, unique_names=False)
     return scanned.select(
         chunk_of("path").alias("chunk"), "row_number", "downtime_min", *S.OPTIONAL_COLUMNS
@@ -351,7 +351,7 @@ def fill_optional(spark, sf_dir):
 
 
 def ingest_metadata(spark, sf_dir):
-    pattern = write_csv_chunks(shift_logs(spark, sf_dir), new_folder(spark, "csv"), SOURCE)
+    pattern = write_csv_chunks(stored_raw(spark, sf_dir), new_folder(spark, "csv"), SOURCE)
     raw = read_shift_logs(spark, pattern, NAMESPACE, RUN_ID, INGESTED_AT, source_file="path")
     utc = F.to_utc_timestamp("ingested_at", F.current_timezone())
     return raw.select(
@@ -366,7 +366,7 @@ def ingest_metadata(spark, sf_dir):
 
 def end_to_end(spark, sf_dir):
     """CSV files to raw table to validated table."""
-    pattern = write_csv_chunks(shift_logs(spark, sf_dir), new_folder(spark, "csv"), SOURCE)
+    pattern = write_csv_chunks(stored_raw(spark, sf_dir), new_folder(spark, "csv"), SOURCE)
     stored = run_ingest(
         spark,
         pattern,

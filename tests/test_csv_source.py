@@ -1,5 +1,7 @@
 import csv
 import os
+import random
+import re
 from datetime import datetime, timezone
 
 import pytest
@@ -78,6 +80,39 @@ def test_against_the_csv_module(spark, tmp_path, split_size):
     assert scanned(spark, paths) == expected(*paths)
 
 
+def random_file(rnd):
+    """Well-formed CSV text with quotes, commas and line breaks in odd places."""
+
+    def field():
+        text = "".join(rnd.choice("ab ,\"\n\té'#\\\\") for _ in range(rnd.choice([0, 0, 1, 2, 5])))
+        if rnd.random() < 0.3 or text[:1] == '"' or "," in text or "\n" in text:
+            return '"' + text.replace('"', '""') + '"'
+        return text
+
+    columns = list(SOURCE_COLUMNS)
+    rnd.shuffle(columns)
+    lines = [",".join(columns)]
+    for _ in range(rnd.randint(0, 40)):
+        width = rnd.choice([10, 10, 10, rnd.randint(1, 10)])
+        lines.append(rnd.choice([",".join(field() for _ in range(width))] * 12 + ["", "  "]))
+    end = rnd.choice(["\n", "\r\n"])
+    return end.join(lines) + rnd.choice([end, ""])
+
+
+def test_random_files(spark, tmp_path):
+    names = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "10"}
+    before = {n: spark.conf.get(n) for n in names}
+    rnd = random.Random(11)
+    paths = [write(tmp_path, f"f{i}.csv", random_file(rnd)) for i in range(10)]
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        assert scanned(spark, paths) == expected(*paths)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_mixed_headers_bom_and_repeated_names(spark, tmp_path):
     turned = ",".join(reversed(SOURCE_COLUMNS))
     paths = [
@@ -177,7 +212,5 @@ def test_check_header():
 
 def test_run_id():
     now = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
-    import re
-
     assert re.fullmatch(r"records_20260102T030405Z_[0-9a-f]{8}", make_run_id(now=now))
     assert make_run_id("x", now).startswith("x_2026")

@@ -165,6 +165,13 @@ def test_build_chosen_marts(spark):
     assert views["v_manufacturing_kpi_by_line"].count() == 2
 
 
+def test_own_rules_may_leave_valid_records_without_key(spark):
+    validated = validated_logs(spark, {"line": ""}, {}, rules={})
+    views = build_marts(validated)
+    assert views["shift_log_kpi"].count() == 2
+    assert views["v_manufacturing_kpi_summary"].first().kpi_records == 2
+
+
 def test_rollups_equal_the_single_views(spark, sf_dir):
     rows = kpi(spark, sf_dir)
     rollups = operations.kpi_rollups(rows)
