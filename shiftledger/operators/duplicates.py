@@ -13,6 +13,8 @@ HOT_ROWS = 2_000_000
 # Share of rows looked at to find such keys. It only decides which of two exact ways a key
 # takes: a key of HOT_ROWS rows shows up 20,000 times, far from the half used as threshold.
 PROBE_FRACTION = 0.01
+# Only from this many rows per key on is the list of such keys sure to be small.
+BROADCAST_HOT_ROWS = 500_000
 
 
 def _usable(keys: Sequence[str]) -> Column:
@@ -23,6 +25,11 @@ def _usable(keys: Sequence[str]) -> Column:
     return usable
 
 
+def _hint(hot: DataFrame, hot_rows: int) -> DataFrame:
+    """Broadcast hint where the bound on the number of keys holds, else Spark goes by size."""
+    return F.broadcast(hot) if hot_rows >= BROADCAST_HOT_ROWS else hot
+
+
 def _first_rows_of_hot_keys(
     df: DataFrame, group: list[str], usable: Column, hot_rows: int, fraction: float
 ) -> DataFrame:
@@ -42,7 +49,7 @@ def _first_rows_of_hot_keys(
         .select(*group)
     )
     return (
-        keyed.join(F.broadcast(hot_keys), group, "left_semi")
+        keyed.join(_hint(hot_keys, hot_rows), group, "left_semi")
         .groupBy(*group)
         .agg(F.min("row_number").alias("first_row"))
     )
@@ -66,7 +73,7 @@ def flag_duplicates(
     usable = _usable(keys)
     hot = _first_rows_of_hot_keys(df, group, usable, hot_rows, probe_fraction)
     marked = df.join(
-        F.broadcast(hot.select(*[F.col(c).alias(f"hot_{c}") for c in group], "first_row")),
+        _hint(hot.select(*[F.col(c).alias(f"hot_{c}") for c in group], "first_row"), hot_rows),
         [F.col(c) == F.col(f"hot_{c}") for c in group],
         "left",
     ).drop(*[f"hot_{c}" for c in group])
