@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid, toxicity
+from .ann import nearest_neighbours
+from .html_crf import main_text_column
 from .mixing import mix_decisions
 from .oracle import ORACLE as ORACLE
+from .packing import pack_documents
+from .quality import quality_verdicts
 from .repeats import removal_digest
+from .sampling import held_out
 from .shipping import ship_package
 from .simhash import near_duplicate_classes
 from .url_filter import filter_urls
@@ -41,11 +47,51 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), query_every=20, k=20)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digest(table(spark, sf_dir, "documents"))
 
 
-_OPERATORS = (op1_mixing, op2_url_filter, op3_simhash, op7_suffix_dedup)
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", main_text_column(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_on(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity.score_column(F.col("text"), model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.language_column(F.col("text"), langid.fit_on(docs))
+    return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), found.alias("found")).select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")
+    )
+
+
+_OPERATORS = (
+    op1_mixing, op2_url_filter, op3_simhash, op4_nearest, op5_quality,
+    op6_packing, op7_suffix_dedup, op8_html, op9_toxicity, op10_language,
+)
 
 
 def _shipped(query: Query) -> Query:
