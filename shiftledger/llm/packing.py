@@ -13,8 +13,12 @@ often as they occur; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -29,11 +33,44 @@ from .texts import as_bytes
 WINDOW = 4096
 END_ID = 2
 BIN_PIECES = 100_000
-CACHED_WORDS = 400_000
+#: Words a worker remembers, some 200 bytes each.
+CACHED_WORDS = 1_200_000
 TOKENIZER = "word_bpe_49k.json"
 
-#: Per worker: tokenizer file -> (tokenizer, ids by word).
-_loaded: dict[str, tuple[object, dict[bytes, np.ndarray]]] = {}
+#: Signs after a letter at the end of a word are tokens of their own, with or without a blank before.
+_SIGNS = re.compile(rb"(?<=[a-z])([.,;:!?]+)(?=[\x20\x09-\x0D]|\Z)")
+
+
+class _Words:
+    """Ids by word, per worker. When the younger half is full, words not used since go."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_file(path)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as little-endian 32-bit numbers."""
+        if len(self.young) + len(words) > CACHED_WORDS // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        fresh = []
+        for word in words:
+            if word not in young:
+                if word in old:
+                    young[word] = old[word]
+                else:
+                    fresh.append(word)
+        for i in range(0, len(fresh), 10_000):
+            part = fresh[i : i + 10_000]
+            encoded = self.model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+            young.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, encoded))
+        return [young[w] for w in words]
+
+
+_loaded: dict[str, _Words] = {}
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -42,35 +79,28 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _tokenizer(name: str):
-    if name not in _loaded:
-        from tokenizers import Tokenizer
+def _plain(text: bytes) -> bytes:
+    """The same tokens from fewer different words: A-Z lower-cased, signs cut off.
 
-        path = name if Path(name).is_absolute() else tokenizer_path(name)
-        _loaded[name] = (Tokenizer.from_file(path), {})
-    return _loaded[name]
+    The tokenizer lower-cases anyway, but for its special tokens; texts that may hold one stay.
+    """
+    return text if b"<|" in text else _SIGNS.sub(rb" \1", text.lower())
 
 
 def token_ids(texts: list[bytes], tokenizer: str) -> list[np.ndarray]:
-    """Ids of each text, by a tokenizer whose tokens never span ASCII white space.
+    """Ids of each text, by a lower-casing tokenizer whose tokens never span ASCII white space.
 
     Every distinct piece between white space is encoded once and looked up from then on.
     """
-    model, known = _tokenizer(tokenizer)
-    pieces = [t.split() for t in texts]
+    if tokenizer not in _loaded:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        _loaded[tokenizer] = _Words(tokenizer if Path(tokenizer).is_absolute() else tokenizer_path(tokenizer))
+    pieces = [_plain(t).split() for t in texts]
     counts = [len(p) for p in pieces]
-    flat = pa.array([w for p in pieces for w in p], pa.binary()).dictionary_encode()
-    words = flat.dictionary.to_pylist()
-    if len(known) + len(words) > CACHED_WORDS:
-        known.clear()
-    fresh = [w for w in words if w not in known]
-    for i in range(0, len(fresh), 10_000):
-        part = fresh[i : i + 10_000]
-        encoded = model.encode_batch([w.decode() for w in part], add_special_tokens=False)
-        known.update((w, np.array(e.ids, dtype="<u4")) for w, e in zip(part, encoded))
-    ids = [known[w] for w in words]
-    lengths = np.array([len(x) for x in ids], dtype=np.int64)
-    store = np.concatenate(ids) if ids else np.empty(0, "<u4")
+    flat = pa.array(chain.from_iterable(pieces), pa.binary(), size=sum(counts)).dictionary_encode()
+    ids = _loaded[tokenizer].ids(flat.dictionary.to_pylist())
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    store = np.frombuffer(b"".join(ids), dtype="<u4")
     begins = np.cumsum(lengths) - lengths
     index = flat.indices.to_numpy()
     n = lengths[index]
