@@ -23,12 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import labelled_sample
-from .texts import LOWER, as_bytes, joined, prefix_sums, slices, span_hashes, text_of
+from .texts import LOWER, as_bytes, joined, pair_hashes, prefix_sums, slices, span_hashes, text_of
 
-TRAIN_DOCS = 8_000
+TRAIN_DOCS = 5_000
 TRAIN_CHARS = 50_000
-KNOWN_WORDS = 200_000
-KNOWN_GRAMS = 200_000
+KNOWN_WORDS = 100_000
+KNOWN_GRAMS = 100_000
 LONGEST_GRAM = 5
 SMOOTHING = 0.5
 EVIDENCE_WORDS = 20.0
@@ -161,22 +161,28 @@ def fit(sample: pd.DataFrame, known_words: int = KNOWN_WORDS, known_grams: int =
     of = sample["lang"].map({name: k for k, name in enumerate(languages)}).to_numpy()
     prior = np.log(np.bincount(of, minlength=len(languages)) / len(of))
     texts = [t.encode() for t in sample["text"]]
-    parts = []
+    keys, hashes, language, count, words = [], [], [], [], []
     for lo, hi in slices(texts):
-        words = cut_words(texts[lo:hi])
-        language = of[lo:hi][words.row].astype(np.uint64)
-        pair = np.stack((words.hash, language), axis=1)
-        kept, first, count = np.unique(pair, axis=0, return_index=True, return_counts=True)
-        parts.append((kept[:, 0], kept[:, 1].astype(np.int64), count, word_bytes(words, first)))
+        cut = cut_words(texts[lo:hi])
+        its = of[lo:hi][cut.row]
+        key, first, n = np.unique(
+            pair_hashes(cut.hash, its.astype(np.uint64)), return_index=True, return_counts=True
+        )
+        keys.append(key)
+        hashes.append(cut.hash[first])
+        language.append(its[first])
+        count.append(n)
+        words += word_bytes(cut, first)
+    # each word of a language once, with its count over all texts
+    _, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    count = np.bincount(inverse, weights=np.concatenate(count))
+    hashes, language = np.concatenate(hashes)[first], np.concatenate(language)[first]
+    words = [words[i] for i in first.tolist()]
     n = len(languages)
-    hashes, language, count = (np.concatenate([p[i] for p in parts]) for i in range(3))
     tables = {0: _table(hashes, language, count, n, known_words)}
     for length in range(1, LONGEST_GRAM + 1):
-        found = []
-        for _, its_language, its_count, words in parts:
-            gram, word = grams(words, length)
-            found.append((gram, its_language[word], its_count[word]))
-        tables[length] = _table(*(np.concatenate(c) for c in zip(*found)), n, known_grams)
+        gram, word = grams(words, length)
+        tables[length] = _table(gram, language[word], count[word], n, known_grams)
     return Model(languages, prior, tables)
 
 

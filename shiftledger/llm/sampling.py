@@ -31,5 +31,5 @@ def labelled_sample(
         .select("doc_id", "text", *columns, *keep)
     )
     # equal ids may repeat; the order makes training the same every time
-    found = rows.toPandas().sort_values(["doc_id", "text"], kind="stable")
+    found = rows.toArrow().to_pandas().sort_values(["doc_id", "text"], kind="stable")
     return found.drop_duplicates("doc_id").head(most).reset_index(drop=True)
