@@ -24,17 +24,18 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .texts import as_bytes
+from .texts import as_bytes, give_back
 
 WINDOW = 4096
 END_ID = 2
 BIN_PIECES = 100_000
-#: Words a worker remembers, some 200 bytes each.
-CACHED_WORDS = 1_200_000
+#: Words a worker remembers, some 40 bytes each.
+CACHED_WORDS = 1_000_000
 TOKENIZER = "word_bpe_49k.json"
 
 #: Signs after a letter at the end of a word are tokens of their own, with or without a blank before.
@@ -42,32 +43,58 @@ _SIGNS = re.compile(rb"(?<=[a-z])([.,;:!?]+)(?=[\x20\x09-\x0D]|\Z)")
 
 
 class _Words:
-    """Ids by word, per worker. When the younger half is full, words not used since go."""
+    """Ids by word, per worker, in arrays: sorted word hashes, and where each word's ids lie.
+
+    Fresh words go to a short sorted run that is merged into the long one now and then. When that is
+    full, words not met since the last time go.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def ids(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word as little-endian 32-bit numbers."""
-        if len(self.young) + len(words) > CACHED_WORDS // 2:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        fresh = []
-        for word in words:
-            if word not in young:
-                if word in old:
-                    young[word] = old[word]
-                else:
-                    fresh.append(word)
-        for i in range(0, len(fresh), 10_000):
-            part = fresh[i : i + 10_000]
-            encoded = self.model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            young.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, encoded))
-        return [young[w] for w in words]
+        none = np.empty(0, np.int64)
+        self.runs = [(none.astype(np.uint64), none, none, np.empty(0, bool))] * 2
+        self.store = np.empty(0, "<u4")
+
+    def _add(self, run: int, more: tuple[np.ndarray, ...]) -> None:
+        merged = [np.concatenate(x) for x in zip(self.runs[run], more)]
+        order = np.argsort(merged[0], kind="stable")
+        self.runs[run] = tuple(x[order] for x in merged)
+
+    def _shrink(self) -> None:
+        keys, begin, size, used = self.runs[0]
+        keys, begin, size = keys[used], begin[used], size[used]
+        ends = np.cumsum(size)
+        self.store = self.store[np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))]
+        self.runs[0] = (keys, ends - size, size, np.zeros(len(keys), bool))
+
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and number of the ids of each word in ``store``."""
+        if len(self.runs[1][0]) > CACHED_WORDS // 8:
+            self._add(0, self.runs[1])
+            self.runs[1] = tuple(x[:0] for x in self.runs[1])
+            if len(self.runs[0][0]) > CACHED_WORDS:
+                self._shrink()
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        begin, size = np.zeros(len(words), np.int64), np.full(len(words), -1)
+        for keys, its_begin, its_size, used in self.runs:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                here = keys[at] == hashes
+                begin[here], size[here] = its_begin[at[here]], its_size[at[here]]
+                used[at[here]] = True
+        fresh = np.flatnonzero(size < 0)
+        if len(fresh):
+            ids = []
+            for lo in range(0, len(fresh), 10_000):
+                part = [words[i].decode() for i in fresh[lo : lo + 10_000].tolist()]
+                ids += [array("I", e.ids) for e in self.model.encode_batch_fast(part, add_special_tokens=False)]
+            size[fresh] = np.fromiter(map(len, ids), np.int64, len(ids))
+            begin[fresh] = len(self.store) + np.cumsum(size[fresh]) - size[fresh]
+            self.store = np.concatenate((self.store, np.frombuffer(b"".join(ids), "<u4")))
+            self._add(1, (hashes[fresh], begin[fresh], size[fresh], np.ones(len(fresh), bool)))
+        return begin, size
 
 
 _loaded: dict[str, _Words] = {}
@@ -98,10 +125,8 @@ def token_ids(texts: list[bytes], tokenizer: str) -> list[np.ndarray]:
     pieces = [_plain(t).split() for t in texts]
     counts = [len(p) for p in pieces]
     flat = pa.array(chain.from_iterable(pieces), pa.binary(), size=sum(counts)).dictionary_encode()
-    ids = _loaded[tokenizer].ids(flat.dictionary.to_pylist())
-    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    store = np.frombuffer(b"".join(ids), dtype="<u4")
-    begins = np.cumsum(lengths) - lengths
+    begins, lengths = _loaded[tokenizer].ids(flat.dictionary.to_pylist())
+    store = _loaded[tokenizer].store
     index = flat.indices.to_numpy()
     n = lengths[index]
     ends = np.cumsum(n)
@@ -138,6 +163,7 @@ def _piece_batches(window: int, end_id: int, tokenizer: str):
                     [pa.array(c, pa.int64()) for c in zip(*rows)],
                     ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "nth"],
                 )
+        give_back()
 
     return cut
 

@@ -1,4 +1,4 @@
-"""Sends this package to the Python workers."""
+"""Sends this package to the Python workers, and texts in batches they can hold."""
 
 from __future__ import annotations
 
@@ -8,6 +8,11 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Rows of an Arrow batch, unless the session has a number of its own; Spark's default is meant for
+#: numbers, not for whole texts.
+BATCH_ROWS = "2000"
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _sent: set[str] = set()
 
 
@@ -17,6 +22,8 @@ def ship_package(spark: SparkSession) -> None:
     Spark's own file server hands it to executors, so they need no shared folder for code.
     """
     context = spark.sparkContext
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
     if context.applicationId in _sent:
         return
     package = Path(__file__).resolve().parent.parent
