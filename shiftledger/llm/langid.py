@@ -132,7 +132,7 @@ class Model:
             scores[new], useful[new] = rows[inverse], done[inverse]
         total = np.stack(
             [np.bincount(words.row, weights=scores[:, k], minlength=len(texts)) for k in range(len(self.languages))], axis=1
-        )
+        ).astype(float)
         n = np.bincount(words.row, weights=useful, minlength=len(texts))
         total *= np.minimum(1.0, EVIDENCE_WORDS / np.maximum(n, 1.0))[:, None]
         total += self.prior

@@ -73,11 +73,11 @@ _SUFFIXES = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
 def _strength(groups: str) -> str:
     """Moment estimate of a level's strength from rows of ``bad, n, prior``."""
     return f"""
-  SELECT CASE WHEN rho > 0 THEN least({MOST_STRENGTH}::DOUBLE, greatest({LEAST_STRENGTH}::DOUBLE, 1 / rho - 1))
+  SELECT CASE WHEN g = 0 THEN {LEAST_STRENGTH}::DOUBLE WHEN rho > 0 THEN least({MOST_STRENGTH}::DOUBLE, greatest({LEAST_STRENGTH}::DOUBLE, 1 / rho - 1))
     ELSE {MOST_STRENGTH}::DOUBLE END AS m
   FROM (SELECT CASE WHEN sum(n) > count(*) THEN
       (sum(pow(bad / n - prior, 2) * n / (prior * (1 - prior))) - count(*)) / (sum(n) - count(*))::DOUBLE
-      ELSE 0 END AS rho FROM {groups})"""
+      ELSE 0 END AS rho, count(*) AS g FROM {groups})"""
 
 
 _URLS = rf"""

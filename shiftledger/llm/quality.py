@@ -90,6 +90,8 @@ class Words:
         if n < width:
             return np.zeros(self.n, dtype=np.int64)
         whole = np.flatnonzero(self.row[width - 1 :] == self.row[: n - width + 1])
+        if not len(whole):
+            return np.zeros(self.n, dtype=np.int64)
         key = self.row[whole].astype(np.uint64)
         for i in range(width):
             key = pair_hashes(key, self.hash[whole + i]) if i in (0, width - 1) else key * np.uint64(

@@ -122,7 +122,8 @@ def host_reputation(labelled: DataFrame) -> tuple[dict[str, DataFrame], dict[str
 
     def prior(df: DataFrame) -> float:
         row = df.select("strength").first()
-        return row.strength if row else MOST_STRENGTH
+        # a level without any label knows next to nothing
+        return row.strength if row else LEAST_STRENGTH
 
     strengths = {"host": prior(by_host), "domain": prior(by_domain), "suffix": prior(by_suffix)}
     return {"host": by_host, "domain": by_domain, "suffix": by_suffix}, {"root": root, **strengths}
