@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WHITESPACE_CLASS
+from .text import WHITESPACE_CLASS, ascii_digits
 
 # fixed values: year first or day first, one separator throughout, four-digit year from
 # 0001, month and day with one or two digits; after a year a one-digit day may be padded by
@@ -29,4 +29,4 @@ def normalize_date(text: Column) -> Column:
     (30 February is NULL). Other texts become ``--``, which is no date. ``try_to_date`` is not
     used because its patterns take wider fields.
     """
-    return F.regexp_replace(text, DATE_TEXT, _ISO).try_cast("date")
+    return F.regexp_replace(ascii_digits(text), DATE_TEXT, _ISO).try_cast("date")

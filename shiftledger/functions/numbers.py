@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import WHITESPACE_CLASS
+from .text import WHITESPACE_CLASS, ascii_digits
 
 # fixed value: optional sign, digits, single underscores between digits, white space around
 _BLANKS = f"[{WHITESPACE_CLASS}]*"
@@ -18,7 +18,7 @@ def parse_int(text: Column) -> Column:
     The pattern yields an empty text where it does not match, which casts to NULL. A bare cast
     would also take texts with control characters and refuse the underscores.
     """
-    digits = F.regexp_extract(text, INTEGER_TEXT, 1)
+    digits = F.regexp_extract(ascii_digits(text), INTEGER_TEXT, 1)
     return F.replace(digits, F.lit("_"), F.lit("")).try_cast("bigint")
 
 

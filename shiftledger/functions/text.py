@@ -7,6 +7,8 @@ so an input mentioned five times on three levels would grow the plan a hundredfo
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,3 +52,13 @@ def normalize_shift(text: Column) -> Column:
 
 def normalize_line(text: Column) -> Column:
     return strip_to_null(text)
+
+
+# decimal digits of all scripts but ASCII, by the rule that each script has ten in a row
+_DIGITS = [chr(c) for c in range(128, 0x110000) if unicodedata.decimal(chr(c), None) is not None]
+_ASCII = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
+
+
+def ascii_digits(text: Column) -> Column:
+    """Decimal digits of any script as ASCII ones; texts without such digits stay as they are."""
+    return F.translate(text, "".join(_DIGITS), _ASCII)

@@ -13,8 +13,6 @@ HOT_ROWS = 2_000_000
 # Share of rows looked at to find such keys. It only decides which of two exact ways a key
 # takes: a key of HOT_ROWS rows shows up 20,000 times, far from the half used as threshold.
 PROBE_FRACTION = 0.01
-# Only from this many rows per key on is the list of such keys sure to be small.
-BROADCAST_HOT_ROWS = 500_000
 
 
 def _usable(keys: Sequence[str]) -> Column:
@@ -25,22 +23,17 @@ def _usable(keys: Sequence[str]) -> Column:
     return usable
 
 
-def _hint(hot: DataFrame, hot_rows: int) -> DataFrame:
-    """Broadcast hint where the bound on the number of keys holds, else Spark goes by size."""
-    return F.broadcast(hot) if hot_rows >= BROADCAST_HOT_ROWS else hot
-
-
 def _first_rows_of_hot_keys(
     df: DataFrame, group: list[str], usable: Column, hot_rows: int, fraction: float
 ) -> DataFrame:
-    """First row number of each key that holds very many rows.
+    """First row (number and id) of each key that holds very many rows.
 
     Both steps aggregate before they shuffle, so a key with a third of all rows leaves each
-    task as one row. The result holds at most about ``2 * rows / hot_rows`` keys, which is the
-    bound that makes it safe to broadcast (half a million keys for 5 * 10^11 rows). Without any
-    such key the second pass is dropped at run time.
+    task as one row. The result holds at most about ``2 * rows / hot_rows`` keys; whether it is
+    broadcast is left to its measured size. Without any such key the second pass is dropped at
+    run time.
     """
-    keyed = df.where(usable).select(*group, "row_number")
+    keyed = df.where(usable).select(*group, "row_number", "row_id")
     probed = keyed if fraction >= 1 else keyed.sample(fraction=fraction, seed=7)
     hot_keys = (
         probed.groupBy(*group)
@@ -49,9 +42,9 @@ def _first_rows_of_hot_keys(
         .select(*group)
     )
     return (
-        keyed.join(_hint(hot_keys, hot_rows), group, "left_semi")
+        keyed.join(hot_keys, group, "left_semi")
         .groupBy(*group)
-        .agg(F.min("row_number").alias("first_row"))
+        .agg(F.min(F.struct("row_number", "row_id")).alias("first_row"))
     )
 
 
@@ -66,14 +59,14 @@ def flag_duplicates(
 
     The key is compared as exact text. "First" means the smallest ``row_number``, whether or
     not that record is valid. Ordinary keys take one window; keys too large for one task get
-    the flag from a broadcast of their first row. Records that cannot be duplicates (unusable
+    the flag from a join with their first row, in the same order. Records that cannot be duplicates (unusable
     or hot key) are spread by their row number, so they never form a group of their own.
     """
     group = [*scope, *keys]
     usable = _usable(keys)
     hot = _first_rows_of_hot_keys(df, group, usable, hot_rows, probe_fraction)
     marked = df.join(
-        _hint(hot.select(*[F.col(c).alias(f"hot_{c}") for c in group], "first_row"), hot_rows),
+        hot.select(*[F.col(c).alias(f"hot_{c}") for c in group], "first_row"),
         [F.col(c) == F.col(f"hot_{c}") for c in group],
         "left",
     ).drop(*[f"hot_{c}" for c in group])
@@ -84,7 +77,7 @@ def flag_duplicates(
     )
     repeated = (
         F.when(~usable, F.lit(False))
-        .when(F.col("first_row").isNotNull(), F.col("row_number") > F.col("first_row"))
+        .when(F.col("first_row").isNotNull(), F.struct("row_number", "row_id") > F.col("first_row"))
         .otherwise(position > 1)
     )
     return marked.withColumn("is_duplicate", repeated).drop("first_row")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,10 @@ def run_ingest(
     dest: str = "table",
     **duplicate_options,
 ) -> DataFrame:
-    """Ingest files as one run and return the validated records of that run.
+    """Ingest files as one batch and return the validated records of that batch.
+
+    A batch is a run id together with its instant of ingestion, so a run id that is used again
+    neither validates nor flags the rows of an earlier ingestion.
 
     The raw table is written first and read back, so both tables hold the same rows and the
     later steps scan columns instead of parsing text again. With ``dest="local"`` both layers
@@ -38,6 +41,8 @@ def run_ingest(
     if dest not in DESTINATIONS:
         raise ValueError(f"Invalid output: {dest}. Supported outputs are 'table' and 'local'.")
     run_id = run_id or make_run_id()
+    ingested_at = ingested_at or datetime.now(timezone.utc)
+    duplicate_options.setdefault("scope", ("run_id", "ingested_at", "source_file"))
     raw = read_shift_logs(spark, paths, namespace, run_id, ingested_at, source_file)
     if dest == "local":
         first = paths if isinstance(paths, str) else paths[0]
@@ -47,7 +52,7 @@ def run_ingest(
         export_validated(validated, tables.base, first)
         return validated
     write_raw(raw, tables.raw, mode)
-    of_run = F.col("run_id") == run_id
-    stored = read_table(spark, tables.raw).where(of_run)
+    of_batch = (F.col("run_id") == run_id) & (F.col("ingested_at") == F.lit(ingested_at))
+    stored = read_table(spark, tables.raw).where(of_batch)
     write_validated(validate_records(stored, namespace, **duplicate_options), tables.validated, mode)
-    return read_table(spark, tables.validated).where(of_run)
+    return read_table(spark, tables.validated).where(of_batch)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import divide_or_zero, safe_divide
@@ -48,12 +48,20 @@ def report_filter(
     dates: tuple[str, str] | None = None,
     lines: Sequence[str] | None = None,
     shifts: Sequence[str] | None = None,
+    date_col: Column | None = None,
 ) -> DataFrame:
-    """Report slicers; plain predicates, so they push down to a stored mart."""
+    """Report slicers; plain predicates, so they push down to a stored mart.
+
+    ``dates`` is a range of the raw date texts; with ``date_col``, such as
+    ``normalize_date(F.col("date"))``, it is one of true dates.
+    """
     wanted = {"run_id": run_ids, "source_file": source_files, "line": lines, "shift": shifts}
     for name, values in wanted.items():
         if values is not None:
             df = df.where(F.col(name).isin(*values))
     if dates is not None:
-        df = df.where(F.col("date").between(*dates))
+        if date_col is None:
+            df = df.where(F.col("date").between(*dates))
+        else:
+            df = df.where(date_col.between(*[F.lit(d).cast("date") for d in dates]))
     return df

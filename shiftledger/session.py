@@ -18,6 +18,8 @@ def work_area(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError(f"{CHECKPOINT_CONF} has to name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="shiftledger-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
