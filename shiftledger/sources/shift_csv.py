@@ -48,14 +48,19 @@ def make_run_id(prefix: str = "records", now: datetime | None = None) -> str:
     return f"{prefix}_{moment:%Y%m%dT%H%M%SZ}_{uuid.uuid4().hex[:8]}"
 
 
+def _decoded(name: str) -> Column:
+    """A file's path or name as it was given; Spark reports it URL-encoded, with ``+`` for itself."""
+    return F.url_decode(F.replace(F.col(name), F.lit("+"), F.lit("%2B")))
+
+
 def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Text lines with file, block start and an id that rises in reading order."""
     return (
         spark.read.option("lineSep", "\n")
         .text(list(paths))
         .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_name").alias("name"),
+            _decoded("_metadata.file_path").alias("path"),
+            _decoded("_metadata.file_name").alias("name"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("mid"),
             F.col("value").alias("line"),

@@ -214,3 +214,12 @@ def test_run_id():
     now = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
     assert re.fullmatch(r"records_20260102T030405Z_[0-9a-f]{8}", make_run_id(now=now))
     assert make_run_id("x", now).startswith("x_2026")
+
+
+def test_names_are_not_encoded(spark, tmp_path):
+    name = "shift logs é 50%25+#1.csv"
+    (tmp_path / name).write_text(
+        "date,shift,line,planned_output,actual_output,defect_qty,downtime_min\n2026-03-04,B,Line9,7,6,0,3\n"
+    )
+    rows = read_shift_logs(spark, str(tmp_path / "*.csv"), "7c1c2a56-6d0e-4e39-9d37-0d8f6a8c2f11", "r").collect()
+    assert [r.source_file for r in rows] == [name]
