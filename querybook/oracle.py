@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from shiftledger import schemas as S
 from shiftledger.operators.checks import SUITE
 
@@ -359,6 +361,29 @@ _NORMALIZED_USABLE = (
     "production_date IS NOT NULL AND shift_normalized IS NOT NULL AND line_normalized IS NOT NULL"
 )
 
+
+
+def _exported(columns, relation: str) -> str:
+    """Columns as the texts of a CSV export, NULL as empty text; ratios as numbers."""
+    shown = {
+        "ingested_at": "strftime(ingested_at, '%Y-%m-%dT%H:%M:%SZ')",
+        "invalid_reason": "'[' || array_to_string("
+        "list_transform(invalid_reason, lambda r: '\"' || r || '\"'), ',') || ']'",
+    }
+    ratios = ("production_achievement", "defect_rate", "downtime_rate")
+    parts = [
+        c
+        if c in ratios
+        else f"coalesce({shown.get(c, f'CAST({c} AS VARCHAR)')}, '') AS {c}"
+        for c in columns
+    ]
+    return f"SELECT {', '.join(parts)} FROM {relation}"
+
+
+_TWICE = """SELECT {run} AS run_id, ingested_at, n AS raw_rows, n AS validated_rows, n AS row_ids, d AS duplicates
+  FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (is_duplicate) AS d FROM csvval),
+       (VALUES ('{first}'), ('{second}')) AS t(ingested_at)"""
+
 ORACLE = {
     "strip_ws": _columns(
         "row_id, " + ", ".join(f"trim({c}) AS {c}_stripped" for c in S.REQUIRED_COLUMNS), "fx"
@@ -387,6 +412,18 @@ ORACLE = {
         + " AS is_duplicate",
         "norm",
     ),
+    "duplicate_flag_hot": _with(
+        "norm",
+        "SELECT row_id, "
+        + _duplicate("date, shift, line", "run_id, source_file", _RAW_USABLE).replace(
+            "ORDER BY row_number", "ORDER BY row_number, row_id"
+        )
+        + " AS is_duplicate FROM twice",
+        {"twice": "SELECT * FROM fx UNION ALL SELECT * REPLACE ('~' || row_id AS row_id) FROM fx"},
+    ),
+    "full_width_digits": _columns(
+        f"row_id, {_DATE}, " + ", ".join(f"{c}_int" for c in QUANTITIES), "norm"
+    ),
     "validate_records": _columns(
         f"row_id, is_valid, is_duplicate, {_REASON_TEXT}, shift_log_id", "val"
     ),
@@ -450,6 +487,11 @@ ORACLE = {
         "GROUP BY downtime_reason",
     ),
     "defect_rate_by_line": _with("kpi", _measures("defect_rate", by="line")),
+    "report_filter_dates": _with(
+        "kpi",
+        f"{_shown('kpi', _TIME)} WHERE CAST(try_strptime(trim(date), {_FORMATS}) AS DATE) "
+        "BETWEEN DATE '1993-01-01' AND DATE '1996-12-31'",
+    ),
     "report_filter": _with(
         "kpi",
         _shown("kpi", _TIME)
@@ -468,6 +510,13 @@ ORACLE = {
         ),
         _VIEWS,
     ),
+    "marts_summary": _with("kpi", _SUMMARY),
+    "marts_daily_trend": _with("kpi", _kpi_by("date")),
+    "marts_by_line": _with("kpi", _kpi_by("line")),
+    "marts_by_shift": _with("kpi", _kpi_by("shift")),
+    "marts_line_shift": _with("kpi", _kpi_by("line, shift")),
+    "marts_pareto": _with("kpi", _PARETO),
+    "marts_drilldown": _with("kpi", _shown("drilldown", _TIME), {"drilldown": _DRILLDOWN}),
     "check_not_null": _with(
         "stg", _null_rows("stg", ["row_id", "shift", "line", *QUANTITIES, "is_valid"])
     ),
@@ -480,6 +529,18 @@ ORACLE = {
   FROM (SELECT row_id, 1 AS r, 0 AS v FROM fx UNION ALL SELECT row_id, 0, 1 FROM dedup)
   GROUP BY row_id HAVING SUM(r) <> 1 OR SUM(v) <> 1""",
     ),
+    "ingest_same_run_twice": _with(
+        "fx",
+        _TWICE.format(
+            run=_q(RUN_ID),
+            first=INGESTED_AT.strftime("%Y-%m-%d %H:%M:%S"),
+            second=(INGESTED_AT + timedelta(hours=1)).strftime("%Y-%m-%d %H:%M:%S"),
+        ),
+        _END_TO_END,
+    ),
+    "check_raw_validated": _with(
+        "fx", "SELECT 2 * COUNT(*) AS raw_rows, 0 AS failing_ids FROM fx"
+    ),
     "check_suite": _with("kpi", _suite_sql(), _VIEWS),
     "required_columns": _with("val", _null_rows("val", _REQUIRED)),
     "csv_scan": _with("fx", _as_csv(SOURCE, _CHUNK)),
@@ -511,6 +572,9 @@ ORACLE = {
         "'[' || array_to_string(list_transform(invalid_reason, lambda r: '\"' || r || '\"'), ',') "
         "|| ']' AS invalid_reason, run_id FROM val",
     ),
+    "sink_local": _with("fx", _exported(S.RAW_SCHEMA.names, "fx")),
+    "export_validated_csv": _with("val", _exported(S.VALIDATED_SCHEMA.names, "val")),
+    "export_kpi_csv": _with("kpi", _exported(S.KPI_SCHEMA.names, "kpi")),
     "write_mode": _with(
         "fx",
         "SELECT run_id, n * k AS n_rows, write_mode FROM "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ from shiftledger.plans.marts import build_marts
 from shiftledger.session import new_folder
 from shiftledger.sinks import (
     disposition,
+    export_kpi,
     export_validated,
     write_kpi,
     write_raw,
@@ -41,7 +42,7 @@ from shiftledger.sinks import (
 )
 from shiftledger.sinks.tables import null_counts
 from shiftledger.sources.shift_csv import read_shift_logs, scan_shift_logs
-from shiftledger.sources.tables import TableNames
+from shiftledger.sources.tables import TableNames, read_table
 
 from .frames import (
     chunk_of,
@@ -147,6 +148,32 @@ def duplicate_flag_normalized(spark, sf_dir):
     ).select("row_id", "is_duplicate")
 
 
+def duplicate_flag_hot(spark, sf_dir):
+    """Every key settled by aggregation, over records that all occur twice under one number.
+
+    Of two such records the one with the smaller id comes first.
+    """
+    raw = stored_raw(spark, sf_dir)
+    again = raw.withColumn("row_id", F.concat(F.lit("~"), "row_id"))
+    flagged = flag_duplicates(raw.unionByName(again), hot_rows=1, probe_fraction=1.0)
+    return flagged.select("row_id", "is_duplicate")
+
+
+def full_width_digits(spark, sf_dir):
+    """Dates and quantities typed with full-width digits."""
+
+    def wide(name):
+        return F.translate(F.col(name), "0123456789", "０１２３４５６７８９")
+
+    return shown(
+        shift_logs(spark, sf_dir).select(
+            "row_id",
+            normalize_date(wide("date")).alias("production_date"),
+            *[parse_int(wide(c)).alias(f"{c}_int") for c in QUANTITIES],
+        )
+    )
+
+
 def validate_records_query(spark, sf_dir):
     return shown(
         validated(spark, sf_dir).select(
@@ -253,6 +280,12 @@ def kpi_trend_by_production_date(spark, sf_dir):
     return shown(operations.kpi_daily_trend(dated, "production_date"))
 
 
+def report_filter_dates(spark, sf_dir):
+    """The date slicer on true dates."""
+    dates, true_date = ("1993-01-01", "1996-12-31"), normalize_date(F.col("date"))
+    return shown(measures.report_filter(kpi(spark, sf_dir), dates=dates, date_col=true_date))
+
+
 def report_filter(spark, sf_dir):
     return shown(
         measures.report_filter(
@@ -266,6 +299,23 @@ def report_filter(spark, sf_dir):
     )
 
 
+def _of_marts(view, *beside):
+    """One view out of several built together, where groupings share a pass."""
+
+    def query(spark, sf_dir):
+        return shown(build_marts(stored_validated(spark, sf_dir), [view, *beside])[view])
+
+    return query
+
+
+def marts_pareto(spark, sf_dir):
+    names = ["v_downtime_reason_pareto", "v_manufacturing_kpi_by_line"]
+    pareto = build_marts(stored_validated(spark, sf_dir), names)[names[0]]
+    return pareto.withColumns(
+        {c: F.round(c, 9) for c in ("downtime_share", "cumulative_downtime_share")}
+    )
+
+
 def marts_all(spark, sf_dir):
     views = build_marts(stored_validated(spark, sf_dir))
     counts = [
@@ -306,6 +356,48 @@ def check_row_id_one_to_one(spark, sf_dir):
     )
 
 
+def _ingested_twice(spark, sf_dir):
+    """The names of two tables that hold two ingestions of the same files under one run id."""
+    pattern = write_csv_chunks(stored_raw(spark, sf_dir), new_folder(spark, "csv"), SOURCE)
+    tables = TableNames(new_folder(spark, "tables"))
+    for hours in (0, 1):
+        run_ingest(
+            spark,
+            pattern,
+            tables,
+            NAMESPACE,
+            run_id=RUN_ID,
+            ingested_at=INGESTED_AT + timedelta(hours=hours),
+            source_file="path",
+        )
+    return tables
+
+
+def ingest_same_run_twice(spark, sf_dir):
+    """Per ingestion: raw and validated rows, distinct row ids, flagged rows."""
+    tables = _ingested_twice(spark, sf_dir)
+    raw = read_table(spark, tables.raw, S.RAW_SCHEMA)
+    done = read_table(spark, tables.validated, S.VALIDATED_SCHEMA)
+    counted = done.groupBy("run_id", "ingested_at").agg(
+        F.count(F.lit(1)).alias("validated_rows"),
+        F.count_distinct("row_id").alias("row_ids"),
+        F.count_if("is_duplicate").alias("duplicates"),
+    )
+    read = raw.groupBy("run_id", "ingested_at").agg(F.count(F.lit(1)).alias("raw_rows"))
+    return shown(read.join(counted, ["run_id", "ingested_at"], "full"))
+
+
+def check_raw_validated(spark, sf_dir):
+    """Stored raw and validated rows of two ingestions, one to one: rows and failing row ids."""
+    tables = _ingested_twice(spark, sf_dir)
+    raw = read_table(spark, tables.raw, S.RAW_SCHEMA)
+    failing = checks.row_id_one_to_one(raw, read_table(spark, tables.validated, S.VALIDATED_SCHEMA))
+    sides = raw.select(F.lit(1).alias("r"), F.lit(0).alias("f")).unionByName(
+        failing.select(F.lit(0).alias("r"), F.lit(1).alias("f"))
+    )
+    return sides.agg(F.sum("r").alias("raw_rows"), F.sum("f").alias("failing_ids"))
+
+
 def check_suite(spark, sf_dir):
     return checks.run_checks(build_marts(stored_validated(spark, sf_dir)))
 
@@ -417,6 +509,36 @@ def export_csv(spark, sf_dir):
     )
 
 
+def _read_back(spark, path, schema):
+    """An export read by position of its header, every column as text."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    back = reader.option("enforceSchema", False).csv(path, ", ".join(f"`{c}` string" for c in schema.names))
+    return back.withColumns({c: F.coalesce(c, F.lit("")) for c in schema.names})
+
+
+def sink_local(spark, sf_dir):
+    """All columns of the raw layer, written as a CSV export through the destination setting."""
+    path = new_folder(spark, "raw-export")
+    write_raw(stored_raw(spark, sf_dir), path, dest="local")
+    return _read_back(spark, path, S.RAW_SCHEMA)
+
+
+def export_validated_csv(spark, sf_dir):
+    """All columns of the validated layer."""
+    folder = new_folder(spark, "export")
+    path = export_validated(stored_validated(spark, sf_dir), folder, "shift_logs.csv")
+    return _read_back(spark, path, S.VALIDATED_SCHEMA)
+
+
+def export_kpi_csv(spark, sf_dir):
+    """All columns of the KPI layer; the ratios go back to numbers."""
+    path = export_kpi(kpi(spark, sf_dir), new_folder(spark, "export"), "shift_logs.csv")
+    ratios = ("production_achievement", "defect_rate", "downtime_rate")
+    return _read_back(spark, path, S.KPI_SCHEMA).withColumns(
+        {c: F.expr(f"try_cast({c} AS double)") for c in ratios}
+    )
+
+
 def write_mode(spark, sf_dir):
     """Rows in a table after two appends and after a replacing write."""
     logs = shift_logs(spark, sf_dir)
@@ -448,6 +570,8 @@ QUERIES = {
     "normalize_records": normalize_records_query,
     "duplicate_flag": duplicate_flag,
     "duplicate_flag_normalized": duplicate_flag_normalized,
+    "duplicate_flag_hot": duplicate_flag_hot,
+    "full_width_digits": full_width_digits,
     "validate_records": validate_records_query,
     "split_valid": split_valid,
     "split_invalid": split_invalid,
@@ -475,12 +599,22 @@ QUERIES = {
     "downtime_by_reason": _of_kpi(measures.downtime_by_reason),
     "defect_rate_by_line": _of_kpi(measures.defect_rate_by_line),
     "report_filter": report_filter,
+    "report_filter_dates": report_filter_dates,
     "marts_all": marts_all,
+    "marts_summary": _of_marts("v_manufacturing_kpi_summary", "v_manufacturing_kpi_by_line"),
+    "marts_daily_trend": _of_marts("v_manufacturing_kpi_daily_trend", "v_manufacturing_kpi_by_line"),
+    "marts_by_line": _of_marts("v_manufacturing_kpi_by_line", "v_manufacturing_kpi_by_shift"),
+    "marts_by_shift": _of_marts("v_manufacturing_kpi_by_shift", "v_manufacturing_kpi_by_line"),
+    "marts_line_shift": _of_marts("v_line_shift_performance", "v_manufacturing_kpi_by_line"),
+    "marts_pareto": marts_pareto,
+    "marts_drilldown": _of_marts("v_shift_log_kpi_drilldown", "v_manufacturing_kpi_by_line"),
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_accepted_values": check_accepted_values,
     "check_unique_combination": check_unique_combination,
     "check_row_id_one_to_one": check_row_id_one_to_one,
+    "ingest_same_run_twice": ingest_same_run_twice,
+    "check_raw_validated": check_raw_validated,
     "check_suite": check_suite,
     "required_columns": required_columns,
     "csv_scan": csv_scan,
@@ -492,6 +626,9 @@ QUERIES = {
     "sink_validated": sink_validated,
     "sink_kpi": sink_kpi,
     "export_csv": export_csv,
+    "sink_local": sink_local,
+    "export_validated_csv": export_validated_csv,
+    "export_kpi_csv": export_kpi_csv,
     "write_mode": write_mode,
 }
 

@@ -139,15 +139,23 @@ def suite_size(suite: Mapping[str, dict] = SUITE) -> int:
     return sum(len(declared) for checks in suite.values() for declared in checks.values())
 
 
-def _entry(model: str, check: str, column: Column | str, failures: Column) -> list[Column]:
+def _entry(model: str, check: str, column: str, failures: Column) -> list[Column]:
     return [
         F.lit(model).alias("model"),
         F.lit(check).alias("check_name"),
-        (F.lit(column) if isinstance(column, str) else column).alias("column_name"),
+        F.lit(column).alias("column_name"),
         failures.cast("bigint").alias("failures"),
     ]
 
 
+def _one_pass(df: DataFrame, model: str, counts: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """One result row per (check, column, failures), all counted in a single pass over the model."""
+    named = [(check, column, f"n{i}") for i, (check, column, _) in enumerate(counts)]
+    counted = df.agg(*[n.alias(f"n{i}") for i, (_, _, n) in enumerate(counts)])
+    rows = [F.struct(*_entry(model, check, column, F.col(n))) for check, column, n in named]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def _model_results(model: str, df: DataFrame, checks: Mapping) -> tuple[list[DataFrame], list]:
     """Result frames of one model and the entries whose column it lacks."""
     parts, absent = [], []
@@ -163,18 +171,20 @@ def _model_results(model: str, df: DataFrame, checks: Mapping) -> tuple[list[Dat
         counted = failing.agg(F.count(F.lit(1)).alias("n"))
         parts.append(counted.select(*_entry(model, check, column, F.col("n"))))
 
-    columns = [c for c in checks.get("not_null", ()) if present("not_null", c)]
-    if columns:
-        nulls = not_null(df, columns)
-        parts.append(
-            nulls.select(*_entry(model, "not_null", F.col("column_name"), F.col("failures")))
-        )
+    counts = [
+        ("not_null", c, F.count_if(F.col(c).isNull()))
+        for c in checks.get("not_null", ())
+        if present("not_null", c)
+    ] + [
+        ("accepted_values", c, F.count_distinct(F.when(~F.col(c).isin(*values), F.col(c))))
+        for c, values in checks.get("accepted_values", {}).items()
+        if present("accepted_values", c)
+    ]
+    if counts:
+        parts.append(_one_pass(df, model, counts))
     for c in checks.get("unique", ()):
         if present("unique", c):
             count_groups("unique", c, unique(df, c))
-    for c, values in checks.get("accepted_values", {}).items():
-        if present("accepted_values", c):
-            count_groups("accepted_values", c, accepted_values(df, c, values))
     for cols in checks.get("unique_combination", ()):
         if present("unique_combination", *cols):
             count_groups("unique_combination", ", ".join(cols), unique_combination(df, cols))
@@ -195,8 +205,9 @@ def run_checks(frames: Mapping[str, DataFrame], suite: Mapping[str, dict] = SUIT
     """One result row per declared check over the given models.
 
     A failing check is a result, not an error. A check on a column the model lacks is reported
-    as "column missing". Models absent from ``frames`` are skipped. All NULL checks of a model
-    share one pass; every other check aggregates before it shuffles.
+    as "column missing". Models absent from ``frames`` are skipped. All NULL and
+    accepted-values checks of a model share one pass; every other check aggregates before it
+    shuffles.
     """
     parts, absent = [], []
     for model, checks in suite.items():

@@ -8,13 +8,23 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from .. import schemas as S
 from ..operators.validate import validate_records
 from ..session import stage
 from ..sinks.csv_export import export_raw, export_validated
 from ..sinks.tables import DESTINATIONS, write_raw, write_validated
-from ..sources.shift_csv import make_run_id, read_shift_logs
-from ..sources.tables import TableNames, read_table
+from ..sources.shift_csv import batch_instant, make_run_id, read_shift_logs
+from ..sources.tables import TableNames, read_table, table_exists
+
+
+def _single_input(paths: str | Sequence[str]) -> str:
+    """The one file that exports can be named after."""
+    named = [paths] if isinstance(paths, str) else list(paths)
+    if len(named) != 1 or any(sign in named[0] for sign in "*?{["):
+        raise ValueError("export_name is needed for patterns and for several inputs")
+    return named[0]
 
 
 def run_ingest(
@@ -27,32 +37,43 @@ def run_ingest(
     ingested_at: datetime | None = None,
     source_file: str = "name",
     dest: str = "table",
+    export_name: str | None = None,
     **duplicate_options,
 ) -> DataFrame:
     """Ingest files as one batch and return the validated records of that batch.
 
-    A batch is a run id together with its instant of ingestion, so a run id that is used again
-    neither validates nor flags the rows of an earlier ingestion.
+    A batch is a run id together with its instant of ingestion in whole seconds, so a run id
+    that is used again neither validates nor flags the rows of an earlier ingestion. A batch
+    whose raw rows are stored already is refused unless ``mode`` replaces the tables.
 
     The raw table is written first and read back, so both tables hold the same rows and the
-    later steps scan columns instead of parsing text again. With ``dest="local"`` both layers
-    become CSV exports in the folder ``tables.base``, named after the first input.
+    later steps scan columns instead of parsing text again. Both tables are partitioned by run
+    id: reading a batch back opens the files of its run and no others. With ``dest="local"``
+    both layers become CSV exports in the folder ``tables.base``, named after ``export_name``
+    or after the input, if that is a single path without a pattern.
     """
     if dest not in DESTINATIONS:
-        raise ValueError(f"Invalid output: {dest}. Supported outputs are 'table' and 'local'.")
+        raise ValueError(f"unknown destination {dest!r}, expected one of {DESTINATIONS}")
     run_id = run_id or make_run_id()
-    ingested_at = ingested_at or datetime.now(timezone.utc)
+    ingested_at = batch_instant(ingested_at or datetime.now(timezone.utc))
     duplicate_options.setdefault("scope", ("run_id", "ingested_at", "source_file"))
     raw = read_shift_logs(spark, paths, namespace, run_id, ingested_at, source_file)
     if dest == "local":
-        first = paths if isinstance(paths, str) else paths[0]
+        name = export_name or _single_input(paths)
         raw = stage(raw, "raw")
         validated = stage(validate_records(raw, namespace, **duplicate_options), "validated")
-        export_raw(raw, tables.base, first)
-        export_validated(validated, tables.base, first)
+        export_raw(raw, tables.base, name)
+        export_validated(validated, tables.base, name)
         return validated
-    write_raw(raw, tables.raw, mode)
     of_batch = (F.col("run_id") == run_id) & (F.col("ingested_at") == F.lit(ingested_at))
-    stored = read_table(spark, tables.raw).where(of_batch)
-    write_validated(validate_records(stored, namespace, **duplicate_options), tables.validated, mode)
-    return read_table(spark, tables.validated).where(of_batch)
+
+    def batch_in(table: str, schema: StructType) -> DataFrame:
+        return read_table(spark, table, schema).where(of_batch)
+
+    if mode == "append" and table_exists(spark, tables.raw):
+        if not batch_in(tables.raw, S.RAW_SCHEMA).isEmpty():
+            raise ValueError(f"batch is stored already: {run_id} at {ingested_at.isoformat()}")
+    write_raw(raw, tables.raw, mode, partition_by=("run_id",))
+    checked = validate_records(batch_in(tables.raw, S.RAW_SCHEMA), namespace, **duplicate_options)
+    write_validated(checked, tables.validated, mode, partition_by=("run_id",))
+    return batch_in(tables.validated, S.VALIDATED_SCHEMA)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -50,27 +50,41 @@ def with_upstream(names: Iterable[str]) -> list[str]:
     return [name for name in UPSTREAM if name in wanted]
 
 
+# what the aggregated operations views read of the KPI rows
+_OF_KPI_ROWS = (
+    "date", "shift", "line", "planned_output", "actual_output", "defect_qty", "downtime_min",
+    "downtime_reason",
+)
+_RECORD_LEVEL = {"shift_log_validated_dedup", "shift_log_kpi", "v_shift_log_kpi_drilldown"}
+
+
 def build_marts(validated: DataFrame, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """The views over a validated table, or the named ones with their upstream.
 
-    Record-level views stay lazy. What several views would compute again is computed once and
+    Calling this starts jobs. Record-level views stay lazy. What several views would compute again is computed once and
     staged as a columnar table in the shared work area: the deduplicated rows with a key, which
-    up to eight views read, and the sums of all groupings of the KPI rows. Aggregated quality
+    up to eight views read (where only aggregated views are asked for: the eight columns of the
+    KPI rows that these read), and the sums of all groupings of the KPI rows. Aggregated quality
     views are staged too, since a dashboard and the checks read them several times.
     """
-    order = with_upstream(UPSTREAM if names is None else names)
+    wanted = list(UPSTREAM if names is None else names)
+    order = with_upstream(wanted)
     staged = stg_shift_logs(validated)
     of_kpi = [name for name in order if UPSTREAM[name] == "shift_log_kpi"]
     groupings = [name for name in of_kpi if name in _GROUPINGS]
 
     keyed = dedup_latest(staged)
-    if len(of_kpi) > 1:
+    whole_records = not _RECORD_LEVEL.isdisjoint(wanted)
+    if len(of_kpi) > 1 and whole_records:
         keyed = stage(keyed, "dedup")
     # the second part adds nothing under the standard rules, and its filters (no key, valid)
     # let the scan skip nearly every row group
     dedup = keyed.unionByName(staged.where(staged["shift_log_id"].isNull()))
     kpi = ops.shift_log_kpi(dedup)
-    rollups = stage(ops.kpi_rollups(kpi), "rollups") if len(groupings) > 1 else None
+    measured = kpi
+    if len(of_kpi) > 1 and not whole_records:
+        measured = stage(kpi.select(*_OF_KPI_ROWS), "kpi")
+    rollups = stage(ops.kpi_rollups(measured), "rollups") if len(groupings) > 1 else None
 
     def view(name: str) -> DataFrame:
         if name == "stg_shift_log_validated":
@@ -85,12 +99,26 @@ def build_marts(validated: DataFrame, names: Iterable[str] | None = None) -> dic
         if name == "shift_log_kpi":
             return kpi
         if name == "v_downtime_reason_pareto":
-            return ops.downtime_pareto(kpi)
+            return ops.downtime_pareto(measured)
         if name == "v_shift_log_kpi_drilldown":
             return ops.kpi_drilldown(kpi)
         keys = _GROUPINGS[name]
         if rollups is not None:
             return ops.rollup_view(rollups, *keys)
-        return ops.kpi_by(kpi, *keys) if keys else ops.kpi_summary(kpi)
+        return ops.kpi_by(measured, *keys) if keys else ops.kpi_summary(measured)
 
     return {name: view(name) for name in order}
+
+
+def publish_views(views: Mapping[str, DataFrame], base: str | None = None) -> None:
+    """Make views readable by name in SQL.
+
+    Without ``base`` they become temporary views of the session; with ``base`` (``schema`` or
+    ``catalog.schema``) each is written as a table there, replacing the one of that name. A
+    table must not replace one its own view still reads.
+    """
+    for name, df in views.items():
+        if base is None:
+            df.createOrReplaceTempView(name)
+        else:
+            df.write.mode("overwrite").saveAsTable(f"{base}.{name}")

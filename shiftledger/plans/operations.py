@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import safe_divide
-from ..operators.dedup import dedup_latest
+from ..operators.dedup import validated_dedup
 from ..operators.running import running_total
 from ..schemas import SHIFT_MINUTES
 from ..session import stage
@@ -54,12 +54,13 @@ def shift_log_kpi(dedup: DataFrame) -> DataFrame:
 
 
 def kpi_of_staged(staged: DataFrame) -> DataFrame:
-    """KPI rows straight from staging, without scanning the records that have no key.
+    """KPI rows straight from staging, those of records without a key included.
 
     Under the standard rules a missing key always comes with a date, shift or line reason, so
-    those records are never valid and cannot reach the KPI rows.
+    none of those records is valid, and their scan is filtered down to nearly nothing. Own rules
+    may hold them valid.
     """
-    return shift_log_kpi(dedup_latest(staged))
+    return shift_log_kpi(validated_dedup(staged))
 
 
 def kpi_without_dedup(validated: DataFrame) -> DataFrame:

@@ -52,10 +52,13 @@ def _guarded(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[column(field) for field in schema.fields])
 
 
-def _save(df: DataFrame, table: str, mode: str) -> None:
+def _save(df: DataFrame, table: str, mode: str, partition_by: Sequence[str]) -> None:
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode: {mode}")
     writer = df.write.format("parquet").mode(mode)
+    if partition_by:
+        # an overwrite replaces the table, also where the session would keep other partitions
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     if is_path(table):
         writer.save(table)
     else:
@@ -86,17 +89,25 @@ def _put(
     dest: str,
     sort_by: Sequence[str] = (),
     cluster: str = "local",
+    partition_by: Sequence[str] = (),
 ) -> None:
     if dest == "local":
         export_csv(df, schema.names, table)
         return
     guarded = _guarded(df, schema)
-    _save(_clustered(guarded, sort_by, cluster) if sort_by else guarded, table, mode)
+    ordered = _clustered(guarded, [*partition_by, *sort_by], cluster) if sort_by else guarded
+    _save(ordered, table, mode, partition_by)
 
 
-def write_raw(df: DataFrame, table: str, mode: str = "append", dest: str = "table") -> None:
+def write_raw(
+    df: DataFrame,
+    table: str,
+    mode: str = "append",
+    dest: str = "table",
+    partition_by: Sequence[str] = (),
+) -> None:
     """Source texts and ingestion metadata as they came; no shuffle."""
-    _put(df, S.RAW_SCHEMA, table, mode, dest)
+    _put(df, S.RAW_SCHEMA, table, mode, dest, partition_by=partition_by)
 
 
 def write_validated(
@@ -105,15 +116,16 @@ def write_validated(
     mode: str = "append",
     dest: str = "table",
     cluster: str = "local",
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Validated records, sorted for the deduplication view.
 
     Only here an unknown destination is an error; the other tables take it for ``table``.
     """
     if dest not in DESTINATIONS:
-        raise ValueError(f"Invalid output: {dest}. Supported outputs are 'table' and 'local'.")
+        raise ValueError(f"unknown destination {dest!r}, expected one of {DESTINATIONS}")
     sort_by = ("shift_log_id", "ingested_at", "row_id")
-    _put(df, S.VALIDATED_SCHEMA, table, mode, dest, sort_by, cluster)
+    _put(df, S.VALIDATED_SCHEMA, table, mode, dest, sort_by, cluster, partition_by)
 
 
 def write_kpi(

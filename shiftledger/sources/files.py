@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Sequence
 
@@ -9,7 +10,9 @@ from pyspark.sql import SparkSession
 
 from ..schemas import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, SOURCE_COLUMNS
 
+# fixed values: the texts of the two contract errors
 NO_HEADER = "CSV schema error: header row is missing or empty."
+MISSING_COLUMNS = "CSV schema error: missing required columns:"
 
 
 def check_header(columns: Sequence[str] | None) -> set[str]:
@@ -23,35 +26,46 @@ def check_header(columns: Sequence[str] | None) -> set[str]:
     found = set(columns)
     missing = sorted(set(REQUIRED_COLUMNS) - found)
     if missing:
-        raise ValueError(f"CSV schema error: missing required columns: {missing}")
+        raise ValueError(f"{MISSING_COLUMNS} {missing}")
     unexpected = sorted(found - set(SOURCE_COLUMNS))
     if unexpected:
         warnings.warn(f"unexpected columns found: {unexpected}", stacklevel=2)
     return set(OPTIONAL_COLUMNS) - found
 
 
-def input_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """Resolve paths or glob patterns to files, each of which must be a non-empty ``.csv``.
+def _literal(path: str) -> str:
+    """A path whose pattern signs stand for themselves."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
-    Only the file listing passes through the driver, as it does for every Spark file source.
+
+def input_files(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Files behind paths or glob patterns, and patterns that name each of them once.
+
+    A path that exists is taken as it is, also with brackets in its name. Every file has to be
+    a non-empty ``.csv``. Both lists are patterns for Spark; only the file listing passes
+    through the driver, as it does for every Spark file source.
     """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    files = []
+    files, patterns = [], []
     for path in paths:
-        pattern = hadoop.Path(path)
         if not path.lower().endswith(".csv"):
-            raise ValueError(f"Input file must be a .csv file: {path}")
-        found = pattern.getFileSystem(conf).globStatus(pattern)
+            raise ValueError(f"{path} does not end in .csv")
+        asked = hadoop.Path(path)
+        system = asked.getFileSystem(conf)
+        literal = system.exists(asked)
+        found = [system.getFileStatus(asked)] if literal else system.globStatus(asked)
         if not found:
-            raise ValueError(f"Input file does not exist: {path}")
+            raise ValueError(f"nothing found at {path}")
         for status in found:
             name = status.getPath().toString()
             if not status.isFile():
-                raise ValueError(f"Input path is not a file: {name}")
+                raise ValueError(f"{name} is a folder, expected a file")
             if status.getPath().getName().startswith(("_", ".")):
-                raise ValueError(f"Spark does not read files named like this one: {name}")
+                raise ValueError(f"Spark does not read files named like {name}")
             if status.getLen() == 0:
                 raise ValueError(f"{NO_HEADER} {name}")
-            files.append(name)
-    return files
+            files.append(_literal(name))
+        patterns.append(_literal(path) if literal else path)
+    once = list(dict.fromkeys(files))
+    return once, patterns if len(once) == len(files) else once

@@ -48,6 +48,11 @@ def make_run_id(prefix: str = "records", now: datetime | None = None) -> str:
     return f"{prefix}_{moment:%Y%m%dT%H%M%SZ}_{uuid.uuid4().hex[:8]}"
 
 
+def batch_instant(moment: datetime) -> datetime:
+    """Instant of ingestion as it is stored: UTC, whole seconds."""
+    return moment.astimezone(timezone.utc).replace(microsecond=0)
+
+
 def _decoded(name: str) -> Column:
     """A file's path or name as it was given; Spark reports it URL-encoded, with ``+`` for itself."""
     return F.url_decode(F.replace(F.col(name), F.lit("+"), F.lit("%2B")))
@@ -439,7 +444,7 @@ def scan_shift_logs(
 ) -> DataFrame:
     """Source columns as text with ``path``, ``name`` and file-order ``row_number``."""
     patterns = [paths] if isinstance(paths, str) else list(paths)
-    files = input_files(spark, patterns)
+    files, patterns = input_files(spark, patterns)
     _pin_splits(spark)
     lines = _lines(spark, patterns)
     usual_header = spark.read.option("lineSep", "\n").text(files[0]).first()[0]
@@ -466,7 +471,7 @@ def add_ingest_metadata(
 ) -> DataFrame:
     """The 15 raw columns. The row id is a name-based UUID over run, instant, file and row,
     so it is unique like a random one but the same however often the plan runs."""
-    instant = ingested_at.astimezone(timezone.utc).replace(microsecond=0)
+    instant = batch_instant(ingested_at)
     text = instant.strftime("%Y-%m-%dT%H:%M:%SZ")
     named = scanned.withColumns(
         {

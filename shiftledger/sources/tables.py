@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 LAYERS = ("raw", "validated", "kpi", "validated_dedup")
 # the view on top of the stored tables lives in the dataset of the build target
@@ -60,6 +61,23 @@ def is_path(table: str) -> bool:
     return "/" in table
 
 
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """Read a stored table by path or by catalog name."""
-    return spark.read.parquet(table) if is_path(table) else spark.read.table(table)
+def table_exists(spark: SparkSession, table: str) -> bool:
+    if not is_path(table):
+        return spark.catalog.tableExists(table)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def read_table(spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame:
+    """Read a stored table by path or by catalog name.
+
+    With a schema its columns come in that order, and a partition column keeps the declared
+    type: without one, Spark takes run ids that look like numbers for numbers.
+    """
+    if not is_path(table):
+        df = spark.read.table(table)
+    elif schema is None:
+        return spark.read.parquet(table)
+    else:
+        df = spark.read.schema(schema).parquet(table)
+    return df if schema is None else df.select(*schema.names)

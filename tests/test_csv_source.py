@@ -132,13 +132,13 @@ def test_unexpected_column_is_dropped_with_a_warning(spark, tmp_path):
 
 
 def test_full_row_with_metadata(spark, tmp_path):
-    path = write(tmp_path, "sample.csv", HEADER + "\n2025-01-01,A,Line1,100,95,2,10,Cleaning,John,Google Form\n")
+    path = write(tmp_path, "mill.csv", HEADER + "\n07.11.2031,c,Saw 4,640,512,7,33,Blade change,Okafor,Tablet\n")
     at = datetime(2026, 2, 3, 4, 5, 6, 789, tzinfo=timezone.utc)
-    df = read_shift_logs(spark, path, NAMESPACE, run_id="test_run", ingested_at=at)
+    df = read_shift_logs(spark, path, NAMESPACE, run_id="night-7", ingested_at=at)
     assert df.columns == RAW_SCHEMA.names
     row, again = df.first(), df.first()
-    assert (row.date, row.shift, row.run_id) == ("2025-01-01", "A", "test_run")
-    assert (row.source_file, row.row_number) == ("sample.csv", 1)
+    assert (row.date, row.shift, row.run_id) == ("07.11.2031", "c", "night-7")
+    assert (row.source_file, row.row_number) == ("mill.csv", 1)
     assert row.ingested_at.replace(tzinfo=timezone.utc) == at.replace(microsecond=0)
     assert len(row.row_id) == 36 and row.row_id == again.row_id
     other = read_shift_logs(spark, path, NAMESPACE, run_id="other", ingested_at=at).first()
@@ -146,13 +146,13 @@ def test_full_row_with_metadata(spark, tmp_path):
 
 
 def test_missing_optional_columns_are_null(spark, tmp_path):
-    path = write(tmp_path, "sample.csv", REQUIRED + "\n2025-01-01,A,Line1,100,95,2,10\n")
+    path = write(tmp_path, "bare.csv", REQUIRED + "\n08.11.2031,b,Saw 5,410,377,4,0\n")
     row = scan_shift_logs(spark, path).first()
     assert (row.downtime_reason, row.operator, row.source_system) == (None, None, None)
 
 
 def test_missing_required_column(spark, tmp_path):
-    path = write(tmp_path, "sample.csv", "date,shift,line,planned_output,actual_output,defect_qty\n2025-01-01,A,L,1,1,1\n")
+    path = write(tmp_path, "cut.csv", REQUIRED.rsplit(",", 1)[0] + "\n08.11.2031,b,Saw 5,410,377,4\n")
     with pytest.raises(ValueError, match=r"missing required columns: \['downtime_min'\]"):
         scan_shift_logs(spark, path)
 
@@ -182,12 +182,12 @@ def test_lone_quote_does_not_collect_the_rest_of_the_file(spark, tmp_path):
 
 
 def test_path_guard(spark, tmp_path):
-    with pytest.raises(ValueError, match="must be a .csv file"):
+    with pytest.raises(ValueError, match="does not end in .csv"):
         scan_shift_logs(spark, str(tmp_path / "x.txt"))
-    with pytest.raises(ValueError, match="does not exist"):
+    with pytest.raises(ValueError, match="nothing found"):
         scan_shift_logs(spark, str(tmp_path / "x.csv"))
     (tmp_path / "dir.csv").mkdir()
-    with pytest.raises(ValueError, match="not a file"):
+    with pytest.raises(ValueError, match="is a folder"):
         scan_shift_logs(spark, str(tmp_path / "dir.csv"))
     upper = write(tmp_path, "UPPER.CSV", HEADER + "\nd,A,L,1,2,3,4,r,o,s\n")
     assert scan_shift_logs(spark, upper).count() == 1
@@ -223,3 +223,12 @@ def test_names_are_not_encoded(spark, tmp_path):
     )
     rows = read_shift_logs(spark, str(tmp_path / "*.csv"), "7c1c2a56-6d0e-4e39-9d37-0d8f6a8c2f11", "r").collect()
     assert [r.source_file for r in rows] == [name]
+
+
+def test_brackets_and_repeated_files(spark, tmp_path):
+    """A name with brackets is itself, not a pattern; a file named twice is read once."""
+    odd = write(tmp_path, "log[1].csv", HEADER + "\nd,A,L,1,2,3,4,r,o,s\n")
+    write(tmp_path, "log1.csv", HEADER + "\ne,A,L,1,2,3,4,r,o,s\n")
+    assert [r.date for r in scan_shift_logs(spark, odd).collect()] == ["d"]
+    both = [odd, odd, f"{tmp_path}/log*.csv", f"{tmp_path}/log1.csv"]
+    assert sorted((r.name, r.date) for r in scan_shift_logs(spark, both).collect()) == [("log1.csv", "e"), ("log[1].csv", "d")]

@@ -22,7 +22,7 @@ from shiftledger.sinks import (
 )
 from shiftledger.sources.tables import TableNames, read_table
 
-from .logs import NAMESPACE, raw_logs, staged_logs, validated_logs
+from .logs import NAMESPACE, by_row, raw_logs, staged_logs, validated_logs
 
 HEADER = ",".join(S.SOURCE_COLUMNS)
 
@@ -44,9 +44,9 @@ def test_table_names():
 def test_ingest_end_to_end(spark, tmp_path):
     path = tmp_path / "log.csv"
     rows = [
-        "2026-01-05,A,Line1,100,95,2,10,Cleaning,John,Google Form",
-        "2026-01-05,A,Line1,100,95,2,10,Cleaning,John,Duplicate CSV Upload",
-        "05.01.2026, b ,Line1,1_000,95,96,481,,John,",
+        "2031-11-07,C,Saw 4,640,512,7,33,Blade change,Okafor,Tablet",
+        "2031-11-07,C,Saw 4,640,512,7,33,Blade change,Okafor,Second upload",
+        "07.11.2031, b ,Saw 4,1_000,95,96,481,,Okafor,",
     ]
     path.write_text(HEADER + "\n" + "\n".join(rows) + "\n")
     tables = TableNames(str(tmp_path / "store"))
@@ -67,20 +67,48 @@ def test_ingest_end_to_end(spark, tmp_path):
     # the newer run wins
     latest = kpi_of_staged(stg_shift_logs(stored)).collect()
     assert {r.run_id for r in latest} <= {"r2"}
-    run_ingest(spark, str(path), tables, NAMESPACE, run_id="r3", mode="overwrite")
-    assert read_table(spark, tables.raw).count() == 3
+    # the instant of the call has microseconds, the stored one whole seconds
+    again = run_ingest(spark, str(path), tables, NAMESPACE, run_id="r3", mode="overwrite")
+    assert again.count() == 3 and read_table(spark, tables.raw).count() == 3
+
+
+def test_one_run_ingested_twice(spark, tmp_path):
+    """A run id that looks like a number, used for two batches; a stored batch is refused."""
+    path = tmp_path / "log.csv"
+    path.write_text(HEADER + "\n" + "2031-11-07,C,Saw 4,640,512,7,33,Blade change,Okafor,Tablet\n" * 2)
+    tables = TableNames(str(tmp_path / "store"))
+    for day in (6, 7):
+        at = datetime(2032, 1, day, tzinfo=timezone.utc)
+        batch = run_ingest(spark, str(path), tables, NAMESPACE, run_id="0042", ingested_at=at)
+        assert by_row(batch, "run_id", "is_duplicate") == [("0042", False), ("0042", True)]
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "(run_id#" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    raw, stored = (read_table(spark, t, s) for t, s in ((tables.raw, S.RAW_SCHEMA), (tables.validated, S.VALIDATED_SCHEMA)))
+    assert raw.count() == stored.count() == 4 and checks.row_id_one_to_one(raw, stored).count() == 0
+    with pytest.raises(ValueError, match="stored already: 0042"):
+        run_ingest(spark, str(path), tables, NAMESPACE, run_id="0042", ingested_at=at)
+    assert read_table(spark, tables.raw).count() == 4
+
+
+def test_exports_of_several_inputs_need_a_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEADER + "\n2031-11-07,C,Saw 4,640,512,7,33,,Okafor,Tablet\n")
+    out = TableNames(str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="export_name"):
+        run_ingest(spark, f"{tmp_path}/*.csv", out, NAMESPACE, dest="local")
+    run_ingest(spark, f"{tmp_path}/*.csv", out, NAMESPACE, dest="local", export_name="mill")
+    assert len(read_export(tmp_path / "out" / "mill_validated")) == 1
 
 
 def test_ingest_to_csv(spark, tmp_path):
     path = tmp_path / "log.csv"
-    path.write_text(HEADER + "\n2026-01-05,A,Line1,100,95,2,10,Cleaning,John,Google Form\n")
+    path.write_text(HEADER + "\n2031-11-07,C,Saw 4,640,512,7,33,Blade change,Okafor,Tablet\n")
     out = TableNames(str(tmp_path / "out"))
     validated = run_ingest(spark, str(path), out, NAMESPACE, run_id="r", dest="local")
     assert validated.count() == 1
     raw, checked = (read_export(tmp_path / "out" / f"log_{x}") for x in ("raw", "validated"))
     assert raw[0]["row_id"] == checked[0]["row_id"]
     assert (checked[0]["is_valid"], checked[0]["invalid_reason"]) == ("true", "[]")
-    with pytest.raises(ValueError, match="Invalid output"):
+    with pytest.raises(ValueError, match="unknown destination"):
         run_ingest(spark, str(path), out, NAMESPACE, dest="cloud")
 
 
@@ -144,7 +172,7 @@ def test_required_columns(spark, tmp_path):
 
 
 def test_unknown_destination(spark, tmp_path):
-    with pytest.raises(ValueError, match="Invalid output: cloud"):
+    with pytest.raises(ValueError, match="unknown destination 'cloud'"):
         write_validated(validated_logs(spark, {}), str(tmp_path / "x"), dest="cloud")
 
 
