@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from querybook.frames import kpi, staged, stored_raw, stored_validated, validated
+from querybook.queries import check_suite
 from shiftledger.operators import dedup_latest
 from shiftledger.plans import operations
 from shiftledger.plans.measures import report_filter
@@ -69,3 +70,9 @@ def test_slicers_reach_the_scan(spark, sf_dir):
     plan = plan_of(report_filter(stored_validated(spark, sf_dir), source_files=["a", "b"]))
     assert "In(source_file, [a,b])" in plan
     assert stored_raw(spark, sf_dir).where(F.col("run_id") == "x").count() == 0
+
+
+def test_check_suite_scans(spark, sf_dir):
+    """One scan per model for NULLs and accepted values, one per uniqueness key."""
+    plan = plan_of(check_suite(spark, sf_dir))
+    assert plan.count("FileScan") <= 30 and "NestedLoop" not in plan
