@@ -33,10 +33,15 @@ RATE = 0.3
 PENALTY = 1e-4
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|textarea|select|title|iframe|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)>|<[!?][^>]*>",
     re.S | re.I,
 )
+#: Elements whose content is not text, by the end tag that is looked for. Without one, the first
+#: four run to the end of the page as in browsers; of the others only the tag is left out.
+_RAW = frozenset("script style textarea title".split())
+_SKIPPED = {
+    tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in [*_RAW, *"template noscript svg select iframe object".split()]
+}
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-label)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
 _SPACES = re.compile(r"\s+")
@@ -85,6 +90,7 @@ def leaf_blocks(page: str) -> list[Block]:
     linked = 0
     in_link = 0
     last = 0
+    endless: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -102,24 +108,35 @@ def leaf_blocks(page: str) -> list[Block]:
             in_link -= tag == "a"
         del stack[upto:]
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, last):
         if m.start() > last:
             piece = page[last : m.start()]
             pieces.append(piece)
             if in_link:
                 linked += len(piece)
         last = m.end()
-        tag = m.group(3)
+        tag = m.group(2)
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in _SKIPPED and not m.group(1):
+            if tag == "svg" and m.group(4) or tag in endless:
+                continue
+            end = _SKIPPED[tag].search(page, last)
+            if end:
+                last = end.end()
+            elif tag in _RAW:
+                last = len(page)
+            else:
+                endless.add(tag)
+            continue
         if tag == "br":
             pieces.append(" ")
             continue
         block = tag not in _INLINE and tag != "img" and tag != "input"
         if block:
             flush()
-        if m.group(2):
+        if m.group(1):
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     close(i)
@@ -127,7 +144,7 @@ def leaf_blocks(page: str) -> list[Block]:
                 # an inline end tag does not reach beyond its block
                 if not block and stack[i][0] not in _INLINE:
                     break
-        elif tag not in _VOID and not m.group(5):
+        elif tag not in _VOID and not m.group(4):
             if block:
                 if tag in _CLOSES:
                     closed, bounds = _CLOSES[tag]
@@ -144,7 +161,7 @@ def leaf_blocks(page: str) -> list[Block]:
                             break
                         if stack[i][0] not in _INLINE:
                             break
-            stack.append((tag, _words_of(m.group(4) or "")))
+            stack.append((tag, _words_of(m.group(3) or "")))
             in_link += tag == "a"
     if last < len(page):
         pieces.append(page[last:])
