@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from . import langid, toxicity
 from .ann import nearest_neighbours
+from .decontaminate import contamination
 from .html_crf import main_text_column
+from .lexical import search
 from .mixing import mix_decisions
 from .oracle import ORACLE as ORACLE
 from .packing import pack_documents
@@ -88,9 +90,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _OPERATORS = (
     op1_mixing, op2_url_filter, op3_simhash, op4_nearest, op5_quality,
     op6_packing, op7_suffix_dedup, op8_html, op9_toxicity, op10_language,
+    op12_decontamination, op13_search,
 )
 
 
