@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, toxicity
+from .alignment import align_documents
 from .ann import nearest_neighbours
 from .decontaminate import contamination
 from .html_crf import main_text_column
@@ -90,6 +91,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -105,7 +110,7 @@ def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OPERATORS = (
     op1_mixing, op2_url_filter, op3_simhash, op4_nearest, op5_quality,
     op6_packing, op7_suffix_dedup, op8_html, op9_toxicity, op10_language,
-    op12_decontamination, op13_search,
+    op11_alignment, op12_decontamination, op13_search,
 )
 
 
