@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, TimestampType
 
+from shiftledger import schemas as S
 from shiftledger.operators import validate_records
 from shiftledger.plans.operations import kpi_of_staged
 from shiftledger.plans.staging import stg_shift_logs
@@ -93,5 +94,58 @@ def write_csv_chunks(df: DataFrame, folder: str, columns: list[str]) -> str:
     return f"{folder}/chunk=*/*.csv"
 
 
+# what is done to a record of the messy files, by its row number modulo this many kinds
+MESSY_KINDS = 12
+
+
+def write_messy_chunks(df: DataFrame, folder: str) -> str:
+    """One hand-made looking CSV file per chunk of row numbers, and their pattern.
+
+    Written as text, so that every sign is ours; ``csv_scan_messy`` says in SQL what has to be read.
+    """
+    kind = F.col("row_number") % MESSY_KINDS
+    text = {c: F.coalesce(c, F.lit("")) for c in S.SOURCE_COLUMNS}
+    text["line"] = (
+        F.when(kind == 1, F.concat(F.lit('"'), text["line"], F.lit('"x"y')))
+        .when(kind == 2, F.concat(text["line"], F.lit(' 5" pipe')))
+        .when(kind == 3, F.lit('"Li""ne"'))
+        .otherwise(text["line"])
+    )
+    text["downtime_reason"] = (
+        F.when(kind == 4, F.lit('"two\n\nlines, ""x"""'))
+        .when(kind == 5, F.lit('"old\r\n\rbreaks"'))
+        .when(kind == 6, F.concat(F.lit('"'), text["downtime_reason"], F.lit('\n"')))
+        .otherwise(text["downtime_reason"])
+    )
+    whole = F.concat_ws(",", *text.values())
+    record = (
+        F.when(kind == 7, F.concat_ws(",", *list(text.values())[:4]))
+        .when(kind == 8, F.concat(whole, F.lit("\r")))
+        .when(kind == 9, F.concat(whole, F.lit("\rnext,C\r")))
+        .when(kind == 10, F.concat(whole, F.lit("\n\n\r\n")))
+        .when(kind == 11, F.concat(whole, F.lit('\n   \n"a ""b"""')))
+        .otherwise(whole)
+    )
+    chunk = F.floor(F.col("row_number") / CHUNK).alias("chunk")
+    records = df.select(chunk, "row_number", record.alias("value"))
+    headers = records.select("chunk", F.lit(-1).cast("bigint"), F.lit(",".join(S.SOURCE_COLUMNS))).distinct()
+    (
+        records.unionAll(headers)
+        .repartition("chunk")
+        .sortWithinPartitions("chunk", "row_number")
+        .select("value", "chunk")
+        .write.partitionBy("chunk")
+        .text(folder)
+    )
+    # the text writer names its files .txt
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(context._jsc.hadoopConfiguration())
+    for status in system.globStatus(path(f"{folder}/chunk=*/*.txt")):
+        written = status.getPath().toString()
+        system.rename(status.getPath(), path(written.removesuffix("txt") + "csv"))
+    return f"{folder}/chunk=*/*.csv"
+
+
 def chunk_of(path: str) -> Column:
     return F.regexp_extract(path, r"chunk=(\d+)", 1).cast("bigint")

@@ -7,7 +7,7 @@ from datetime import timedelta
 from shiftledger import schemas as S
 from shiftledger.operators.checks import SUITE
 
-from .frames import CHUNK
+from .frames import CHUNK, MESSY_KINDS
 from .fx import FX_SQL, NAMESPACE
 from .queries import INGESTED_AT, QUANTITIES, RUN_ID
 
@@ -316,6 +316,36 @@ def _as_csv(columns, partition: str, keep: str = "") -> str:
     )
 
 
+def _messy_sql() -> str:
+    """What the messy files hold: the records as they were changed, and those written behind them."""
+    changed = {
+        "line": "CASE kind WHEN 1 THEN line || 'x\"y' WHEN 2 THEN line || ' 5\" pipe' WHEN 3 THEN 'Li\"ne' ELSE line END",
+        "downtime_reason": "CASE kind WHEN 4 THEN 'two' || chr(10) || chr(10) || 'lines, \"x\"' "
+        "WHEN 5 THEN 'old' || chr(13) || chr(10) || chr(13) || 'breaks' "
+        "WHEN 6 THEN downtime_reason || chr(10) ELSE downtime_reason END",
+    }
+    own = [
+        f"{changed.get(c, c)} AS {c}" if i < 4 else f"CASE WHEN kind <> 7 THEN {changed.get(c, c)} END AS {c}"
+        for i, c in enumerate(SOURCE)
+    ]
+
+    def behind(kind: int, part: int, *texts: str) -> str:
+        values = [f"{_q(t)} AS {c}" for c, t in zip(SOURCE, texts)]
+        values += [f"CAST(NULL AS VARCHAR) AS {c}" for c in SOURCE[len(texts) :]]
+        return f"SELECT chunk, rn, {part} AS part, {', '.join(values)} FROM kinds WHERE kind = {kind}"
+
+    texts = ", ".join(f"coalesce({c}, '') AS {c}" for c in SOURCE)
+    return f"""WITH kinds AS (
+    SELECT {_CHUNK} AS chunk, row_number AS rn, row_number % {MESSY_KINDS} AS kind, {texts} FROM fx),
+  records AS (
+    SELECT chunk, rn, 0 AS part, {", ".join(own)} FROM kinds
+    UNION ALL {behind(9, 1, "next", "C")}
+    UNION ALL {behind(11, 1, "   ")}
+    UNION ALL {behind(11, 2, 'a "b"')})
+  SELECT chunk, row_number() OVER (PARTITION BY chunk ORDER BY rn, part) AS row_number, {", ".join(SOURCE)} FROM records"""
+
+
+_MESSY = _messy_sql()
 _LAYOUT = "CASE WHEN row_number % 2 = 0 THEN 'even' ELSE 'odd' END"
 _OPTIONAL_NULL = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in S.OPTIONAL_COLUMNS)
 _END_TO_END = {
@@ -544,6 +574,7 @@ ORACLE = {
     "check_suite": _with("kpi", _suite_sql(), _VIEWS),
     "required_columns": _with("val", _null_rows("val", _REQUIRED)),
     "csv_scan": _with("fx", _as_csv(SOURCE, _CHUNK)),
+    "csv_scan_messy": _with("fx", "SELECT * FROM messy", {"messy": _MESSY}),
     "header_contract": _with(
         "fx", _as_csv(SOURCE, f"{_CHUNK}, row_number % 2", f"{_LAYOUT} AS layout, ")
     ),

@@ -53,6 +53,7 @@ from .frames import (
     stored_validated,
     validated,
     write_csv_chunks,
+    write_messy_chunks,
 )
 from .fx import NAMESPACE, shift_logs
 
@@ -417,6 +418,13 @@ def csv_scan(spark, sf_dir):
     return scanned.select(chunk_of("path").alias("chunk"), "row_number", *SOURCE)
 
 
+def csv_scan_messy(spark, sf_dir):
+    """Files with every kind of line break, text behind quotes, blank and short rows."""
+    pattern = write_messy_chunks(stored_raw(spark, sf_dir), new_folder(spark, "messy"))
+    scanned = scan_shift_logs(spark, pattern, unique_names=False)
+    return scanned.select(chunk_of("path").alias("chunk"), "row_number", *SOURCE)
+
+
 def header_contract(spark, sf_dir):
     """Files with different column orders and a column nobody expects."""
     logs = stored_raw(spark, sf_dir).withColumn("note", F.lit("ignored"))
@@ -618,6 +626,7 @@ QUERIES = {
     "check_suite": check_suite,
     "required_columns": required_columns,
     "csv_scan": csv_scan,
+    "csv_scan_messy": csv_scan_messy,
     "header_contract": header_contract,
     "fill_optional": fill_optional,
     "ingest_metadata": ingest_metadata,

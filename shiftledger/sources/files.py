@@ -33,7 +33,7 @@ def check_header(columns: Sequence[str] | None) -> set[str]:
     return set(OPTIONAL_COLUMNS) - found
 
 
-def _literal(path: str) -> str:
+def literal_path(path: str) -> str:
     """A path whose pattern signs stand for themselves."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
@@ -65,7 +65,7 @@ def input_files(spark: SparkSession, paths: Sequence[str]) -> tuple[list[str], l
                 raise ValueError(f"Spark does not read files named like {name}")
             if status.getLen() == 0:
                 raise ValueError(f"{NO_HEADER} {name}")
-            files.append(_literal(name))
-        patterns.append(_literal(path) if literal else path)
+            files.append(literal_path(name))
+        patterns.append(literal_path(path) if literal else path)
     once = list(dict.fromkeys(files))
     return once, patterns if len(once) == len(files) else once

@@ -2,20 +2,26 @@
 
 A quoted field may hold line breaks, so where a record starts depends on all text before it,
 and Spark's own multi-line CSV reader therefore gives each file to one task. Here a file is
-read as text lines in blocks. A first pass counts lines per block and notes whether any line
-leaves a quote open or is blank:
+read in pieces between line breaks, in blocks. A first pass counts pieces per block and notes
+which are blank, leave a quote open or hold a line break of the other kind:
 
-* files without such lines (the rule): every line is a record, and its number is the count of
-  lines in earlier blocks plus its place in the block. No row is shuffled.
-* other files: the quote state runs through the lines of each block for both possible states
-  at its start, then through the blocks of the file. A window never holds more than one block.
+* files without the last two (the rule): every piece that is not blank is a record, and its number
+  is the count of such pieces in earlier blocks plus its place in the block. No row is shuffled.
+* other files: the states of ``csv_states`` run through the pieces of each block for both states
+  possible at its start, then through the blocks of the file. A window never holds more than one
+  block.
+
+Pieces end at LF. A file that holds long runs of CR between two LF, as files do whose records end
+in CR, is cut at CR instead; what is read does not hang on the choice.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,23 +29,19 @@ from pyspark.sql import functions as F
 from ..functions import uuid_v5
 from ..schemas import RAW_SCHEMA, REQUIRED_COLUMNS, SOURCE_COLUMNS
 from ..session import stage
-from .files import NO_HEADER, check_header, input_files
+from .csv_states import fields_of, has_break, is_blank, opens, records_of, stays, without_cr
+from .files import NO_HEADER, check_header, input_files, literal_path
 
 # One row per block, about 400 bytes each as a broadcast table; 128 MB blocks of 100 TB are
 # 800,000 rows. Larger tables are joined by shuffle instead.
 BROADCAST_BLOCKS = 1_000_000
 # fixed value: largest field in characters
 FIELD_LIMIT = 131_072
+#: Lone CRs in one piece from which on a file is cut at CR.
+CR_RUN = 1_000
 
-# fixed values: quoted text with doubled quotes; a whole field; a line that leaves a quote
-# open; a line that, begun inside quotes, ends inside quotes
-_QUOTED = r'[^"]*+(?:""[^"]*+)*+'
-_FIELD = rf'(?:"{_QUOTED}"[^,]*+|[^",][^,]*+|)'
-OPENS = rf'\A(?:{_FIELD},)*+"{_QUOTED}\z'
-STAYS = rf'\A{_QUOTED}(?:"[^,]*+,(?:{_FIELD},)*+"{_QUOTED})?+\z'
-
-# closes every record, so that the number of its fields is known
-_END = "\x01end\x01"
+# pieces end at the first, read from the patterns beside it
+Inputs = list[tuple[str, list[str]]]
 
 
 def make_run_id(prefix: str = "records", now: datetime | None = None) -> str:
@@ -58,35 +60,25 @@ def _decoded(name: str) -> Column:
     return F.url_decode(F.replace(F.col(name), F.lit("+"), F.lit("%2B")))
 
 
-def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Text lines with file, block start and an id that rises in reading order."""
-    return (
-        spark.read.option("lineSep", "\n")
-        .text(list(paths))
-        .select(
+def _pieces(spark: SparkSession, inputs: Inputs, blank: bool) -> DataFrame:
+    """Pieces of text with file, block start and an id that rises in reading order.
+
+    Without blank ones, ids count the pieces that are not.
+    """
+
+    def read(end: str, patterns: list[str]) -> DataFrame:
+        text = spark.read.option("lineSep", end).text(patterns)
+        return (text if blank else text.where(~is_blank(F.col("value")))).select(
             _decoded("_metadata.file_path").alias("path"),
             _decoded("_metadata.file_name").alias("name"),
             F.col("_metadata.file_block_start").alias("block"),
+            F.col("_metadata.file_size").alias("file_size"),
+            F.lit(end).alias("end"),
             F.monotonically_increasing_id().alias("mid"),
-            F.col("value").alias("line"),
+            F.col("value").alias("piece"),
         )
-    )
-
-
-def _is_blank(line: Column) -> Column:
-    return line.isin("", "\r")
-
-
-def _opens(line: Column) -> Column:
-    return F.contains(line, F.lit('"')) & line.rlike(OPENS)
-
 
-def _stays(line: Column) -> Column:
-    return ~F.contains(line, F.lit('"')) | line.rlike(STAYS)
-
-
-def _without_cr(text: Column) -> Column:
-    return F.regexp_replace(text, r"\r\z", "")
+    return reduce(DataFrame.unionByName, [read(*i) for i in inputs])
 
 
 def _pin_splits(spark: SparkSession) -> None:
@@ -100,43 +92,62 @@ def _pin_splits(spark: SparkSession) -> None:
         spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
 
 
-def _block_counts(lines: DataFrame, usual_header: str) -> DataFrame:
+def _first_line(piece: Column) -> Column:
+    """Text up to the first line break, without a byte-order mark."""
+    return F.regexp_extract(piece, "\\A\ufeff?([^\r\n]*+)", 1)
+
+
+def _block_counts(pieces: DataFrame, usual_header: str) -> DataFrame:
     """First pass: numbers only, so it is a hash aggregation of one row per task and block."""
-    irregular = _is_blank(F.col("line")) | _opens(F.col("line"))
-    header_here = (F.col("block") == 0) & (F.col("line") == usual_header)
-    return stage(
-        lines.groupBy("path", "name", "block").agg(
-            F.min("mid").alias("first_mid"),
-            F.count(F.lit(1)).alias("n_lines"),
-            F.count_if(irregular).alias("n_irregular"),
-            F.min(F.when(header_here, F.col("mid"))).alias("usual_mid"),
-        ),
-        "csv-blocks",
+    piece = F.col("piece")
+    header_here = (F.col("block") == 0) & (_first_line(piece) == usual_header)
+    crs = F.char_length(piece) - F.char_length(F.replace(piece, F.lit("\r"), F.lit("")))
+    return pieces.groupBy("path", "name", "block", "end").agg(
+        F.min("mid").alias("first_mid"),
+        F.count(F.lit(1)).alias("n_pieces"),
+        F.count_if(is_blank(piece)).alias("n_blank"),
+        F.count_if(has_break(piece) | opens(piece)).alias("n_irregular"),
+        F.max(F.when(has_break(piece), crs).otherwise(0)).alias("most_crs"),
+        F.sum(F.octet_length(piece) + 1).alias("n_bytes"),
+        F.max("file_size").alias("file_size"),
+        F.min(F.when(header_here, F.col("mid"))).alias("usual_mid"),
     )
 
 
-def _fields(text: Column, width: int) -> Column:
-    """Fields of a record of at most ``width`` fields, followed by the end mark.
+def _one_form(path: str) -> str:
+    """A path however many slashes follow its scheme."""
+    return re.sub(r"\A(\w+):/+", r"\1:/", path)
 
-    An empty field is NULL here, and a record with more fields has no end mark.
-    """
-    names = [f"c{i}" for i in range(width + 1)]
-    schema = ", ".join(f"{name} string" for name in names)
-    options = {"sep": ",", "quote": '"', "escape": '"', "multiLine": "true"}
-    parsed = F.from_csv(F.concat(text, F.lit("," + _END)), schema, options)
-    # bound as a lambda variable, so that a record is parsed once
-    return F.transform(F.array(parsed), lambda row: F.array(*[row[name] for name in names]))[0]
 
+def _counted(spark: SparkSession, files: list[str], patterns: list[str], usual: str) -> tuple[DataFrame, Inputs]:
+    """Counts of all blocks, staged, and the kind of pieces that each file is cut into."""
+
+    def count(inputs: Inputs) -> DataFrame:
+        return stage(_block_counts(_pieces(spark, inputs, blank=True), usual), "csv-blocks")
+
+    inputs: Inputs = [("\n", patterns)]
+    blocks = count(inputs)
+    at_cr = [row.path for row in blocks.where(F.col("most_crs") >= CR_RUN).select("path").distinct().collect()]
+    if at_cr:
+        turned = {_one_form(path) for path in at_cr}
+        rest = [f for f in files if _one_form(re.sub(r"\\(.)", r"\1", f)) not in turned]
+        inputs = [i for i in (("\n", rest), ("\r", [literal_path(path) for path in at_cr])) if i[1]]
+        blocks = count(inputs)
+    return blocks, inputs
 
-def _first_lines(lines: DataFrame, blocks: DataFrame, usual_header: str) -> tuple[DataFrame, int, int]:
-    """Per file its header line and whether it has irregular lines; header width, block count.
+
+def _headers(pieces: DataFrame, blocks: DataFrame, usual_header: str) -> tuple[DataFrame, int]:
+    """Per file: its header fields and facts of the first pass, stored; the number of blocks.
 
     Almost always all files share one header, which the first pass has found by comparison.
     Only where a file has another one is the text read once more for it.
     """
-    files = blocks.groupBy("path", "name").agg(
+    left = F.max("file_size") - F.sum("n_bytes")
+    files = blocks.groupBy("path", "name", "end").agg(
         F.count(F.lit(1)).alias("n_blocks"),
         (F.sum("n_irregular") > 0).alias("irregular"),
+        # a byte-order mark of three bytes is not part of the first piece
+        left.isin(0, 3).alias("ended"),
         F.max(F.when(F.col("block") == 0, F.col("first_mid"))).alias("header_mid"),
         F.max(F.when(F.col("block") == 0, F.col("usual_mid"))).alias("usual_mid"),
     )
@@ -144,40 +155,19 @@ def _first_lines(lines: DataFrame, blocks: DataFrame, usual_header: str) -> tupl
     counts = files.agg(F.sum("n_blocks").alias("blocks"), F.count_if(~usual).alias("unusual")).first()
     if counts.unusual == 0:
         headed = files.withColumn("header", F.lit(usual_header))
-        return headed, usual_header.count(",") + 1, counts.blocks
-    unusual = files.where(~usual).select("path", F.col("header_mid").alias("mid"))
-    others = stage(
-        lines.where(F.col("block") == 0)
-        .join(_bounded(unusual, counts.unusual), ["path", "mid"])
-        .select("path", F.col("line").alias("other")),
-        "csv-other-headers",
-    )
-    commas = F.length("other") - F.length(F.replace("other", F.lit(","), F.lit("")))
-    width = max(others.agg(F.max(commas)).first()[0], usual_header.count(",")) + 1
-    headed = files.join(others, "path", "left").withColumn(
-        "header", F.coalesce("other", F.lit(usual_header))
-    )
-    return headed, width, counts.blocks
-
-
-def _headers(headed: DataFrame, width: int) -> DataFrame:
-    """Per file: its header fields, stored, and whether it has irregular lines."""
-    header = _without_cr(F.regexp_replace("header", "\\A\ufeff", ""))
-    return stage(
-        headed.withColumn("header", header)
-        .withColumn("fields", _fields(F.col("header"), width))
-        .select(
-            "path",
-            "name",
-            "irregular",
-            "header",
-            F.transform(
-                F.slice("fields", 1, F.array_position("fields", F.lit(_END)) - 1),
-                lambda f: F.coalesce(f, F.lit("")),
-            ).alias("fields"),
-        ),
-        "csv-headers",
-    )
+    else:
+        unusual = files.where(~usual).select("path", F.col("header_mid").alias("mid"))
+        others = stage(
+            pieces.where(F.col("block") == 0)
+            .join(_bounded(unusual, counts.unusual), ["path", "mid"])
+            .select("path", _first_line(F.col("piece")).alias("other")),
+            "csv-other-headers",
+        )
+        headed = files.join(others, "path", "left").withColumn(
+            "header", F.coalesce("other", F.lit(usual_header))
+        )
+    headers = headed.select("path", "name", "end", "irregular", "ended", "header", fields_of(F.col("header")).alias("fields"))
+    return stage(headers, "csv-headers"), counts.blocks
 
 
 def _check_headers(headers: DataFrame, unique_names: bool) -> Row:
@@ -187,16 +177,14 @@ def _check_headers(headers: DataFrame, unique_names: bool) -> Row:
     """
     required = F.array(*map(F.lit, REQUIRED_COLUMNS))
     known = F.array(*map(F.lit, SOURCE_COLUMNS))
-    broken = _opens(F.col("header")) | F.contains("header", F.lit("\r"))
     conditions = {
         "empty": F.col("header") == "",
-        "broken": broken,
+        "broken": opens(F.col("header")),
         "lacking": F.size(F.array_except(required, "fields")) > 0,
         "extra": F.size(F.array_except("fields", known)) > 0,
     }
     facts = headers.agg(
         *[F.count_if(condition).alias(name) for name, condition in conditions.items()],
-        F.max(F.size("fields")).alias("width"),
         F.bool_or("irregular").alias("any_irregular"),
         F.bool_and("irregular").alias("all_irregular"),
         F.count(F.lit(1)).alias("n_files"),
@@ -238,8 +226,9 @@ def _layout(headers: DataFrame) -> DataFrame:
 
     return headers.select(
         "path",
-        "name",
+        "end",
         "irregular",
+        "ended",
         F.size("fields").alias("header_width"),
         F.array(*[position(name) for name in SOURCE_COLUMNS]).alias("positions"),
     )
@@ -249,24 +238,29 @@ def _bounded(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= BROADCAST_BLOCKS else df
 
 
-def _regular_records(lines: DataFrame, blocks: DataFrame, files: DataFrame, n: int) -> DataFrame:
-    """Every line is a record; its number follows from the counts alone."""
-    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    placed = (
-        blocks.join(files.where(~F.col("irregular")).drop("name"), "path")
-        .withColumn("before", F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)))
-        .select("path", "block", "first_mid", "n_lines", "before", "header_width", "positions")
+def _regular_records(pieces: DataFrame, blocks: DataFrame, files: DataFrame, n: int) -> DataFrame:
+    """Every piece that is not blank is a record; its number follows from the counts alone."""
+    n_records = F.col("n_pieces") - F.col("n_blank")
+    in_file = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # ids count from the start of the task, whose number is in their upper bits
+    task = F.shiftright("first_mid", 33)
+    in_task = Window.partitionBy("end", task).orderBy("first_mid").rowsBetween(Window.unboundedPreceding, -1)
+    counted = blocks.select(
+        "path",
+        "block",
+        n_records.alias("n_records"),
+        F.coalesce(F.sum(n_records).over(in_file), F.lit(0)).alias("before"),
+        (F.shiftleft(task, 33) + F.coalesce(F.sum(n_records).over(in_task), F.lit(0))).alias("first_id"),
     )
-    place = F.col("mid") - F.col("first_mid")
+    regular = files.where(~F.col("irregular")).select("path", "header_width", "positions")
+    place = F.col("mid") - F.col("first_id")
     moved = F.raise_error(F.lit("the input files changed or were cut differently while being read"))
-    checked = F.when((place >= 0) & (place < F.col("n_lines")), F.col("before") + place + 1)
-    return lines.join(_bounded(placed, n), ["path", "block"]).select(
+    checked = F.when((place >= 0) & (place < F.col("n_records")), F.col("before") + place + 1)
+    return pieces.join(_bounded(counted.join(regular, "path"), n), ["path", "block"]).select(
         "path",
         "name",
         F.coalesce(checked, moved.cast("bigint")).alias("record_no"),
-        F.col("line").alias("record"),
+        without_cr(F.col("piece")).alias("record"),
         "header_width",
         "positions",
     )
@@ -299,27 +293,28 @@ def _state_from(start: bool) -> Column:
     return F.coalesce(F.col("_last_set"), F.lit(start)) != F.col("_odd")
 
 
-def _irregular_records(lines: DataFrame, blocks: DataFrame, files: DataFrame, n: int) -> DataFrame:
-    """Records of files with quoted line breaks or blank lines."""
-    chosen = files.where(F.col("irregular")).select("path")
+def _irregular_records(pieces: DataFrame, blocks: DataFrame, files: DataFrame, n: int, limit: int) -> DataFrame:
+    """Records of files with line breaks in quotes or of another kind."""
+    chosen = files.where(F.col("irregular")).drop("irregular")
     in_block = Window.partitionBy("path", "block").orderBy("mid")
     running = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = _fold_quote_states(
-        lines.join(_bounded(chosen, n), "path").withColumns(
-            {"opens": _opens(F.col("line")), "stays": _stays(F.col("line"))}
-        ),
-        "opens",
-        "stays",
-        in_block,
+    marked = pieces.join(_bounded(chosen.select("path"), n), "path").withColumns(
+        {"opens": opens(F.col("piece")), "stays": stays(F.col("piece"))}
     )
+    for start, inside in ((0, False), (1, True)):
+        begun = F.size(records_of(F.col("piece"), F.lit(inside))) - start
+        marked = marked.withColumn(f"own{start}", begun)
+    marked = _fold_quote_states(marked, "opens", "stays", in_block)
     for start in (0, 1):
-        begins = ~F.col(f"inside{start}") & ~_is_blank(F.col("line"))
         marked = (
             marked.withColumn(f"after{start}", _state_from(bool(start)))
             .withColumn(f"inside{start}", F.lag(f"after{start}", 1, bool(start)).over(in_block))
-            .withColumn(f"count{start}", F.sum(begins.cast("int")).over(running))
+            .withColumn(f"begun{start}", F.when(F.col(f"inside{start}"), F.col("own1")).otherwise(F.col("own0")))
+            .withColumn(f"count{start}", F.sum(f"begun{start}").over(running))
         )
-    marked = stage(marked.drop("opens", "stays", "_last_set", "_odd"), "csv-lines")
+    marked = stage(
+        marked.drop("opens", "stays", "own0", "own1", "_last_set", "_odd", "file_size", "end"), "csv-pieces"
+    )
 
     in_file = Window.partitionBy("path").orderBy("block")
     earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
@@ -329,8 +324,8 @@ def _irregular_records(lines: DataFrame, blocks: DataFrame, files: DataFrame, n:
     )
     placed = (
         _fold_quote_states(ends, "end0", "end1", in_file)
-        .withColumn("end", _state_from(False))
-        .withColumn("begun", F.lag("end", 1, False).over(in_file))
+        .withColumn("state", _state_from(False))
+        .withColumn("begun", F.lag("state", 1, False).over(in_file))
         .withColumn("own", F.when(F.col("begun"), F.col("records1")).otherwise(F.col("records0")))
         .select(
             "path",
@@ -338,7 +333,7 @@ def _irregular_records(lines: DataFrame, blocks: DataFrame, files: DataFrame, n:
             "begun",
             F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("before"),
         )
-        .join(files.drop("name", "irregular"), "path")
+        .join(chosen, "path")
     )
 
     def by_state(name: str) -> Column:
@@ -349,117 +344,132 @@ def _irregular_records(lines: DataFrame, blocks: DataFrame, files: DataFrame, n:
         "name",
         "block",
         "mid",
-        "line",
         by_state("inside").alias("inside"),
         by_state("after").alias("after"),
-        (F.col("before") + by_state("count")).alias("record_no"),
+        (F.col("before") + by_state("count") - by_state("begun")).alias("prior"),
+        records_of(F.col("piece"), by_state("inside")).alias("parts"),
         "header_width",
         "positions",
+        "end",
+        "ended",
     )
-    whole = ~F.col("inside") & ~F.col("after")
+    parts = numbered.select(
+        "*", F.size("parts").alias("n_parts"), F.posexplode("parts").alias("nth", "part")
+    ).select(
+        "path",
+        "name",
+        "block",
+        "mid",
+        (F.col("prior") + F.col("nth") + F.when(F.col("inside"), 0).otherwise(1)).alias("record_no"),
+        (F.col("inside") & (F.col("nth") == 0)).alias("continues"),
+        (F.col("after") & (F.col("nth") == F.col("n_parts") - 1)).alias("open"),
+        "part",
+        "header_width",
+        "positions",
+        "end",
+        "ended",
+    )
+    whole = ~F.col("continues") & ~F.col("open")
     columns = ("path", "name", "record_no", "record", "header_width", "positions")
-    single = (
-        numbered.where(whole & ~_is_blank(F.col("line")))
-        .withColumnRenamed("line", "record")
-        .select(*columns)
+    single = parts.where(whole).withColumnRenamed("part", "record").select(*columns)
+    broken = parts.where(~whole).withColumn(
+        "part", F.when(F.col("continues"), F.substring("part", F.lit(2), F.char_length("part"))).otherwise(F.col("part"))
     )
-    pieces = numbered.where(~whole)
-    _check_record_sizes(pieces)
-    return single.unionByName(_joined_pieces(pieces).select(*columns))
+    _check_record_sizes(broken, limit)
+    return single.unionByName(_joined_parts(broken).select(*columns))
 
 
-def _check_record_sizes(pieces: DataFrame) -> None:
-    """Refuse a record too long for its fields, such as the rest of a file after a lone quote.
+def _check_record_sizes(parts: DataFrame, limit: int) -> None:
+    """Memory guard: refuse a record too long for its fields, such as the rest of a file after a lone quote.
 
-    Summed before anything is collected, so such a record never meets in one task.
+    No record whose fields keep to the limit is refused: each sign but a quote is one of a field, and
+    a quote in a field is two. Summed before anything is collected, so such a record never meets in
+    one task.
     """
-    limit = F.col("header_width") * (FIELD_LIMIT + 3)
+    width, size = F.col("header_width"), F.char_length("part") + 1
+    plain = F.char_length(F.replace("part", F.lit('"'), F.lit(""))) + 1
     long = (
-        pieces.groupBy("path", "record_no", "header_width")
-        .agg(F.sum(F.length("line") + 1).alias("size"))
-        .where(F.col("size") > limit)
+        parts.groupBy("path", "record_no", "header_width")
+        .agg(F.sum(size).alias("size"), F.sum(plain).alias("plain"))
+        .where((F.col("plain") > width * (limit + 3)) | (F.col("size") > width * (2 * limit + 3)))
         .first()
     )
     if long is not None:
         raise ValueError(
-            f"field larger than field limit ({FIELD_LIMIT}): record {long.record_no - 1} "
-            f"of {long.path}"
+            f"field larger than field limit ({limit}): record {long.record_no - 1} of {long.path}"
         )
 
 
-def _joined_pieces(pieces: DataFrame) -> DataFrame:
-    """Records that run over several lines; their size has been checked."""
-    ordered = F.sort_array(F.collect_list(F.struct("block", "mid", "line", "after")))
-    text = F.array_join(F.transform("lines", lambda p: p["line"]), "\n")
-    # at the end of the file a quote may still be open; the last line break is not kept then
-    unclosed = F.element_at("lines", -1)["after"]
+def _joined_parts(parts: DataFrame) -> DataFrame:
+    """Records that run over several pieces; their size has been checked."""
+    ordered = F.sort_array(F.collect_list(F.struct("block", "mid", "part", "open")))
+    # at the end of the file a quote may still be open; the last line break is then in the field
+    unclosed = F.element_at("parts", -1)["open"]
+    last = F.concat(F.when(F.col("ended"), F.col("end")).otherwise(F.lit("")), F.lit('"'))
     return (
-        pieces.groupBy("path", "name", "record_no", "header_width", "positions")
-        .agg(ordered.alias("lines"))
-        .withColumn(
-            "record", F.when(unclosed, F.concat(text, F.lit('"'))).otherwise(text)
-        )
+        parts.groupBy("path", "name", "record_no", "header_width", "positions", "end", "ended")
+        .agg(ordered.alias("parts"))
+        .withColumn("texts", F.transform("parts", lambda p: p["part"]))
+        .withColumn("text", F.expr("array_join(texts, `end`)"))
+        .withColumn("record", F.when(unclosed, F.concat("text", last)).otherwise(F.col("text")))
     )
 
 
-def _parsed(records: DataFrame, width: int) -> DataFrame:
+def _parsed(records: DataFrame, limit: int) -> DataFrame:
     """Source columns by header position: empty text stays empty, an absent field is NULL."""
-    fields, found = F.col("fields"), F.col("n_fields")
+    fields, found = F.col("fields"), F.size("fields")
 
     def value(i: int, name: str) -> Column:
         position = F.col("positions")[i]
-        present = (position > 0) & (position <= found)
-        return F.when(
-            present, F.coalesce(F.get(fields, position - 1), F.lit(""))
-        ).alias(name)
-
-    too_long = (F.col("n_fields") < 0) | (F.col("n_fields") > F.col("header_width"))
-    message = F.concat(
-        F.lit("CSV row has more fields than the header: row "),
-        (F.col("record_no") - 1).cast("string"),
-        F.lit(" of "),
-        F.col("path"),
+        return F.when(position > 0, F.get(fields, position - 1)).alias(name)
+
+    row = F.concat((F.col("record_no") - 1).cast("string"), F.lit(" of "), F.col("path"))
+    over = (F.char_length("record") > limit) & F.exists(fields, lambda f: F.char_length(f) > limit)
+
+    def stop(what: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"{what}: row "), row)).cast("bigint")
+
+    number = (
+        F.when(over, stop(f"field larger than field limit ({limit})"))
+        .when(found > F.col("header_width"), stop("CSV row has more fields than the header"))
+        .otherwise(F.col("record_no") - 1)
     )
     return (
         records.where(F.col("record_no") > 1)
-        .withColumn("fields", _fields(_without_cr(F.col("record")), width))
-        .withColumn("n_fields", F.array_position("fields", F.lit(_END)) - 1)
-        .withColumn(
-            "row_number",
-            F.when(too_long, F.raise_error(message).cast("bigint")).otherwise(
-                F.col("record_no") - 1
-            ),
-        )
+        .withColumn("fields", fields_of(F.col("record")))
         .select(
             "path",
             "name",
-            "row_number",
+            number.alias("row_number"),
             *[value(i, name) for i, name in enumerate(SOURCE_COLUMNS)],
         )
     )
 
 
 def scan_shift_logs(
-    spark: SparkSession, paths: str | Sequence[str], unique_names: bool = True
+    spark: SparkSession, paths: str | Sequence[str], unique_names: bool = True, field_limit: int = FIELD_LIMIT
 ) -> DataFrame:
-    """Source columns as text with ``path``, ``name`` and file-order ``row_number``."""
+    """Source columns as text with ``path``, ``name`` and file-order ``row_number``.
+
+    A field of more than ``field_limit`` characters is an error, however it is written.
+    """
     patterns = [paths] if isinstance(paths, str) else list(paths)
     files, patterns = input_files(spark, patterns)
     _pin_splits(spark)
-    lines = _lines(spark, patterns)
-    usual_header = spark.read.option("lineSep", "\n").text(files[0]).first()[0]
-    blocks = _block_counts(lines, usual_header)
-    headed, width, n_blocks = _first_lines(lines, blocks, usual_header)
-    headers = _headers(headed, width)
+    first = spark.read.option("lineSep", "\n").text(files[0])
+    usual_header = first.select(_first_line(F.col("value"))).first()[0]
+    blocks, inputs = _counted(spark, files, patterns, usual_header)
+    pieces = _pieces(spark, inputs, blank=True)
+    headers, n_blocks = _headers(pieces, blocks, usual_header)
     facts = _check_headers(headers, unique_names)
     layout = _layout(headers)
     parts = []
     if not facts.all_irregular:
-        parts.append(_regular_records(lines, blocks, layout, n_blocks))
+        parts.append(_regular_records(_pieces(spark, inputs, blank=False), blocks, layout, n_blocks))
     if facts.any_irregular:
-        parts.append(_irregular_records(lines, blocks, layout, n_blocks))
+        parts.append(_irregular_records(pieces, blocks, layout, n_blocks, field_limit))
     records = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return _parsed(records, facts.width)
+    return _parsed(records, field_limit)
 
 
 def add_ingest_metadata(
@@ -491,6 +501,7 @@ def read_shift_logs(
     run_id: str | None = None,
     ingested_at: datetime | None = None,
     source_file: str = "name",
+    field_limit: int = FIELD_LIMIT,
 ) -> DataFrame:
     """Read shift-log CSV files into raw records.
 
@@ -499,7 +510,7 @@ def read_shift_logs(
     """
     if source_file not in ("name", "path"):
         raise ValueError("source_file must be 'name' or 'path'")
-    scanned = scan_shift_logs(spark, paths, unique_names=source_file == "name")
+    scanned = scan_shift_logs(spark, paths, source_file == "name", field_limit)
     return add_ingest_metadata(
         scanned,
         run_id or make_run_id(),

@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 import pytest
 
 from shiftledger.schemas import RAW_SCHEMA, SOURCE_COLUMNS
+from shiftledger.sources import shift_csv
 from shiftledger.sources.files import check_header
 from shiftledger.sources.shift_csv import make_run_id, read_shift_logs, scan_shift_logs
 
@@ -113,6 +114,86 @@ def test_random_files(spark, tmp_path):
             spark.conf.set(name, value)
 
 
+def broken_file(rnd):
+    """Text with every kind of line break, quotes anywhere, text behind quotes and open ends."""
+    signs = ["a", "b", " ", ",", ",", '"', '"', '""', "\n", "\r", "\r\n", "\n\n", "é", "\t", '",', ',"', '"\r']
+    body = "".join(rnd.choice(signs) for _ in range(rnd.choice([0, 5, 40, 300])))
+    # fewer commas than header fields in a record, or it would be refused
+    text = re.sub(r"((?:[^,]*,){9}[^,]*),[^\n]*", r"\1\n", body)
+    return HEADER + rnd.choice(["\n", "\r\n", "\r"]) + text
+
+
+def fits(path):
+    """Whether no record has more fields than the header."""
+    with open(path, encoding="utf-8", newline="") as f:
+        return all(None not in row for row in csv.DictReader(f))
+
+
+@pytest.mark.parametrize("run", [1_000, 1])
+def test_any_text_as_the_csv_module_reads_it(spark, tmp_path, split_size, monkeypatch, run):
+    """Lone CR, text behind quotes, quotes never closed; cut at LF or, with a run of one, at CR."""
+    monkeypatch.setattr(shift_csv, "CR_RUN", run)
+    rnd = random.Random(29)
+    paths = [write(tmp_path, f"f{i}.csv", broken_file(rnd)) for i in range(60)]
+    kept = [p for p in paths if fits(p)]
+    assert len(kept) > 40
+    assert scanned(spark, kept) == expected(*kept)
+
+
+def test_records_that_end_in_cr(spark, tmp_path, split_size):
+    rows = [f'd{i},A,"L\r{i}",1,2,3,4,r,o,s' for i in range(1500)]
+    paths = [
+        write(tmp_path, "old.csv", "\r".join([HEADER, *rows]) + "\r"),
+        write(tmp_path, "new.csv", "\n".join([HEADER, *rows]) + "\n"),
+        write(tmp_path, "both.csv", "\r\n".join([HEADER, *rows])),
+        write(tmp_path, "lines [1].csv", "\r".join([HEADER, *(r.replace("L\r", "L") for r in rows)])),
+    ]
+    assert scanned(spark, paths) == expected(*paths)
+
+
+def test_open_quote_keeps_its_last_line_break(spark, tmp_path):
+    for i, end in enumerate(["", "\n", "\r\n", "\r"]):
+        path = write(tmp_path, f"open{i}.csv", HEADER + '\nd,A,L,1,2,3,4,"left open' + end)
+        assert scanned(spark, path) == expected(path)
+        marked = write(tmp_path, f"mark{i}.csv", "\ufeff" + HEADER + '\nd,A,L,1,2,3,4,"left open' + end)
+        assert scanned(spark, marked) == expected(marked)
+
+
+def test_field_limit_of_every_field(spark, tmp_path):
+    def file(i, field):
+        return write(tmp_path, f"f{i}.csv", HEADER + f"\nd,A,L,1,2,3,4,{field},o,s\n")
+
+    fine = ["x" * 40, '"' + "x" * 40 + '"', '"' + '""' * 40 + '"', '"' + "x\n" * 20 + '"', '"' + "é" * 39 + '"x']
+    for i, field in enumerate(fine):
+        assert len(scan_shift_logs(spark, file(i, field), field_limit=40).first()["downtime_reason"]) == 40
+    for i, field in enumerate(["x" * 41, '"' + '""' * 41 + '"', '"' + "x\n" * 21 + '"', '"' + "x" * 40 + '"x']):
+        with pytest.raises(Exception, match=r"field larger than field limit \(40\)"):
+            scan_shift_logs(spark, file(10 + i, field), field_limit=40).collect()
+
+
+def above(plan, leaf):
+    """Operators over a leaf of a plan in writing, where deeper ones stand further right."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if leaf in line)
+    depth, found = len(lines[at]), []
+    for line in reversed(lines[: at + 1]):
+        here = len(line) - len(line.lstrip(" :+-"))
+        if here < depth:
+            depth = here
+            found.append(line.lstrip(" :+-"))
+    return found
+
+
+def test_blank_lines_move_no_rows(spark, tmp_path):
+    """Blank lines without quotes: blocks are exchanged, lines never."""
+    path = write(tmp_path, "gaps.csv", HEADER + "\n" + "\n\nd,A,L,1,2,3,4,r,o,s\r\n" * 50)
+    df = scan_shift_logs(spark, path)
+    assert scanned(spark, path) == expected(path)
+    operators = above(df._jdf.queryExecution().sparkPlan().toString(), "FileScan text")
+    assert operators and not any(o.startswith(("Exchange", "Sort", "Window")) for o in operators)
+    assert "csv-pieces" not in df._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_mixed_headers_bom_and_repeated_names(spark, tmp_path):
     turned = ",".join(reversed(SOURCE_COLUMNS))
     paths = [
