@@ -13,12 +13,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("hi").alias("node"), F.col("lo").alias("near"))
     both = both.union(edges.select(F.col("lo").alias("node"), F.col("hi").alias("near")))
     least = both.groupBy(F.col("node").alias("lo")).agg(F.least(F.first("node"), F.min("near")).alias("least"))
+    # staged, so that both sides of the join are dealt anew and adaptive execution can split a hub's edges
+    least = stage(least, "least")
     return edges.join(least, "lo").select("hi", F.col("least").alias("lo")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """The smaller neighbours of each node, and the node, move to the smallest of them."""
-    least = edges.groupBy("hi").agg(F.min("lo").alias("least"))
+    least = stage(edges.groupBy("hi").agg(F.min("lo").alias("least")), "least")
     moved = edges.join(least, "hi").where("lo <> least").select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
     return moved.union(least.select("hi", F.col("least").alias("lo"))).distinct()
 

@@ -17,7 +17,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -26,7 +26,8 @@ from .texts import as_bytes
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
-BLOCKS = 6
+#: Random fingerprints of one meeting place, from which the number of blocks follows.
+PLACE_ROWS = 64
 #: Fingerprints of one meeting place that are compared in one task; more are dealt over a grid.
 GRID_ROWS = 4096
 SEED = 42
@@ -147,7 +148,7 @@ def _link_batches(distance: int):
 
 
 def close_links(
-    fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, grid_rows: int = GRID_ROWS
+    fps: DataFrame, distance: int = DISTANCE, blocks: int = DISTANCE + 2, grid_rows: int = GRID_ROWS
 ) -> DataFrame:
     """Links ``a``, ``b`` whose components are those of all pairs within ``distance`` bits.
 
@@ -181,60 +182,78 @@ def close_links(
     )
 
 
+def blocks_for(fingerprints: int, distance: int = DISTANCE) -> int:
+    """Blocks that leave a meeting place of random fingerprints about ``PLACE_ROWS`` rows at most.
+
+    More blocks make longer keys, and more of them: 15 keys of 21 bits, 35 of 27, 70 of 32 for a
+    distance of four. What is found is the same.
+    """
+    blocks = distance + 2
+    while blocks < 64 and fingerprints >> (64 * (blocks - distance) // blocks) > PLACE_ROWS:
+        blocks += 1
+    return blocks
+
+
+def _marked(docs: DataFrame, shingle_words: int) -> DataFrame:
+    """``doc_id``, fingerprint and a hash of the text of every row; staged."""
+    fp = fingerprint_column(F.col("text"), shingle_words)
+    return stage(docs.select("doc_id", fp.alias("fp"), F.xxhash64("text").alias("hash")), "fingerprints")
+
+
+def _fingerprint_classes(marked: DataFrame, distance: int, blocks: int | None, grid_rows: int) -> DataFrame:
+    """``fp``, ``component`` (a fingerprint) and ``first_id`` of every distinct fingerprint; staged."""
+    fps = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    blocks = blocks or blocks_for(fps.count(), distance)
+    linked = connected_components(close_links(fps.select("fp"), distance, blocks, grid_rows))
+    classes = fps.join(
+        linked.select(F.col("node").alias("fp"), "component"), "fp", "left"
+    ).select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    return stage(classes, "classes")
+
+
 def near_duplicate_classes(
     docs: DataFrame,
     distance: int = DISTANCE,
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
     shingle_words: int = SHINGLE_WORDS,
     grid_rows: int = GRID_ROWS,
 ) -> DataFrame:
     """``doc_id``, ``fp`` (signed long) and ``component_id`` for every row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links of at most ``distance``
-    differing bits, null only if no row of the class has an id.
+    differing bits, null only if no row of the class has an id. Without ``blocks`` their number
+    follows from the number of fingerprints.
     """
-    marked = stage(
-        docs.select("doc_id", fingerprint_column(F.col("text"), shingle_words).alias("fp")),
-        "fingerprints",
-    )
-    fps = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    linked = connected_components(close_links(fps.select("fp"), distance, blocks, grid_rows))
-    classes = fps.join(
-        linked.select(F.col("node").alias("fp"), "component"), "fp", "left"
-    ).select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    classes = stage(classes, "classes")
+    marked = _marked(docs, shingle_words)
+    classes = _fingerprint_classes(marked, distance, blocks, grid_rows)
     named = classes.groupBy("component").agg(F.min("first_id").alias("component_id"))
     ids = classes.join(named, "component").select("fp", "component_id")
     return marked.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each_class(docs: DataFrame, **settings) -> DataFrame:
+def one_of_each_class(
+    docs: DataFrame,
+    distance: int = DISTANCE,
+    blocks: int | None = None,
+    shingle_words: int = SHINGLE_WORDS,
+    grid_rows: int = GRID_ROWS,
+) -> DataFrame:
     """``docs`` with one row of each near-duplicate class: that of its smallest ``doc_id``.
 
-    Rows that share this id are told apart by fingerprint and text, and equal ones leave one. A
-    class without any id keeps the row of its smallest fingerprint and text. Only ids and hashes
-    are ranked; the texts move once, to meet the row that stays.
+    Rows that share this id are told apart by fingerprint and text, and of rows with one id and text
+    one stays. Rows without id come last, so a class without any id keeps the row of its smallest
+    fingerprint and text. Only ids and hashes are ranked; the texts move once, to meet the row that stays.
     """
-    classes = near_duplicate_classes(docs, **settings)
-    keepers = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows = docs.select(F.struct("*").alias("row"), "doc_id")
-    unique = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").isEmpty()
-    if unique:
-        return rows.join(keepers, "doc_id").select("row.*")
-    return _first_rows(docs, **settings)
-
-
-def _first_rows(docs: DataFrame, **settings) -> DataFrame:
-    """One row of each class where ids are missing or shared."""
-    width = settings.get("shingle_words", SHINGLE_WORDS)
-    fp = fingerprint_column(F.col("text"), width)
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id"), fp.alias("fp"), F.xxhash64("text").alias("hash"))
-    classes = near_duplicate_classes(docs, **settings)
-    names = classes.select("fp", "component_id").distinct()
+    marked = _marked(docs, shingle_words)
+    classes = _fingerprint_classes(marked, distance, blocks, grid_rows).select("fp", "component")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", "hash")
-    # without any id the fingerprint classes of a component cannot be named, so each names itself
-    named = rows.join(names, "fp").withColumn(
-        "class", F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
-    )
-    firsts = named.groupBy("class").agg(F.min(order).alias("first"), F.min_by("row", order).alias("row"))
-    return firsts.select("row.*")
+    of_fp = marked.groupBy("fp").agg(F.min(order).alias("first"))
+    firsts = of_fp.join(classes, "fp").groupBy("component").agg(F.min("first").alias("first"))
+    keepers = stage(firsts.select(F.col("first.doc_id").alias("_id"), F.col("first.hash").alias("_hash")), "keepers")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    kept = rows.join(keepers, same)
+    if marked.groupBy("doc_id", "hash").count().where("count > 1").isEmpty():
+        return kept.select("row.*")
+    nth = F.row_number().over(Window.partitionBy("doc_id", "hash").orderBy(F.xxhash64("row")))
+    return kept.withColumn("nth", nth).where("nth = 1").select("row.*")
