@@ -12,7 +12,7 @@ from shiftledger.llm.packing import pack_documents
 from shiftledger.llm.quality import kept_documents
 from shiftledger.llm.repeats import without_repeats
 from shiftledger.llm.shipping import ship_package
-from shiftledger.llm.similar import one_of_each_similar
+from shiftledger.llm.simhash import one_of_each_class
 from shiftledger.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,9 +25,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document stays of those that share five-word shingles at a Jaccard similarity of 0.8 or more."""
+    """One document stays of those whose fingerprints over four-word shingles differ in four bits at most."""
     ship_package(spark)
-    return one_of_each_similar(docs)
+    return one_of_each_class(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
