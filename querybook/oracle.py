@@ -568,6 +568,15 @@ ORACLE = {
         ),
         _END_TO_END,
     ),
+    "ingest_resumed": _with(
+        "fx",
+        _TWICE.format(
+            run=_q(RUN_ID),
+            first=INGESTED_AT.strftime("%Y-%m-%d %H:%M:%S"),
+            second=(INGESTED_AT + timedelta(hours=1)).strftime("%Y-%m-%d %H:%M:%S"),
+        ),
+        _END_TO_END,
+    ),
     "check_raw_validated": _with(
         "fx", "SELECT 2 * COUNT(*) AS raw_rows, 0 AS failing_ids FROM fx"
     ),

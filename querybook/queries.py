@@ -28,8 +28,8 @@ from shiftledger.operators import (
     validated_dedup,
 )
 from shiftledger.operators import checks
-from shiftledger.plans import measures, operations, quality
-from shiftledger.plans.ingest import run_ingest
+from shiftledger.plans import batches, measures, operations, quality
+from shiftledger.plans.ingest import run_ingest, store_raw
 from shiftledger.plans.marts import build_marts
 from shiftledger.session import new_folder
 from shiftledger.sinks import (
@@ -388,6 +388,28 @@ def ingest_same_run_twice(spark, sf_dir):
     return shown(read.join(counted, ["run_id", "ingested_at"], "full"))
 
 
+def ingest_resumed(spark, sf_dir):
+    """A batch whose job ended between its writes, another that left raw rows unmarked, both repeated."""
+    pattern = write_csv_chunks(stored_raw(spark, sf_dir), new_folder(spark, "csv"), SOURCE)
+    tables = TableNames(new_folder(spark, "tables"))
+    halves = [batches.Batch(RUN_ID, INGESTED_AT + timedelta(hours=h)) for h in (0, 1)]
+    store_raw(spark, pattern, tables, NAMESPACE, halves[0], source_file="path")
+    unmarked = read_shift_logs(spark, pattern, NAMESPACE, RUN_ID, halves[1].ingested_at, "path")
+    write_raw(unmarked, tables.raw, partition_by=batches.PARTITIONS)
+    for half in halves:
+        run_ingest(
+            spark, pattern, tables, NAMESPACE, RUN_ID, ingested_at=half.ingested_at, source_file="path"
+        )
+    raw, done = (batches.read_whole_batches(spark, tables, layer) for layer in ("raw", "validated"))
+    counted = done.groupBy("run_id", "ingested_at").agg(
+        F.count(F.lit(1)).alias("validated_rows"),
+        F.count_distinct("row_id").alias("row_ids"),
+        F.count_if("is_duplicate").alias("duplicates"),
+    )
+    read = raw.groupBy("run_id", "ingested_at").agg(F.count(F.lit(1)).alias("raw_rows"))
+    return shown(read.join(counted, ["run_id", "ingested_at"], "full"))
+
+
 def check_raw_validated(spark, sf_dir):
     """Stored raw and validated rows of two ingestions, one to one: rows and failing row ids."""
     tables = _ingested_twice(spark, sf_dir)
@@ -622,6 +644,7 @@ QUERIES = {
     "check_unique_combination": check_unique_combination,
     "check_row_id_one_to_one": check_row_id_one_to_one,
     "ingest_same_run_twice": ingest_same_run_twice,
+    "ingest_resumed": ingest_resumed,
     "check_raw_validated": check_raw_validated,
     "check_suite": check_suite,
     "required_columns": required_columns,

@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from .. import schemas as S
-from ..sources.tables import is_path
+from ..sources.tables import is_path, table_exists
 from .csv_export import export_csv
 
 DESTINATIONS = ("table", "local")
 CLUSTERINGS = ("local", "range")
 
 
+def batch_name(instant: Column) -> Column:
+    """The batch of a run, as its partition is named: the instant of ingestion in UTC."""
+    utc = F.to_utc_timestamp(instant, F.current_timezone())
+    return F.date_format(utc, "yyyyMMdd'T'HHmmss'Z'")
+
+
 def disposition(write_mode: str | None) -> str:
     """``truncate`` replaces the table, anything else appends to it."""
     return "overwrite" if write_mode == "truncate" else "append"
@@ -52,13 +58,34 @@ def _guarded(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[column(field) for field in schema.fields])
 
 
-def _save(df: DataFrame, table: str, mode: str, partition_by: Sequence[str]) -> None:
-    if mode not in ("append", "overwrite"):
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def _insert_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions of ``df`` in a catalog table; the writer has no option for it there."""
+    conf = df.sparkSession.conf
+    before = conf.get(_OVERWRITE_MODE)
+    conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        conf.set(_OVERWRITE_MODE, before)
+
+
+def save(df: DataFrame, table: str, mode: str, partition_by: Sequence[str] = ()) -> None:
+    """Append to a table, replace it, or replace those of its partitions that ``df`` has rows of."""
+    if mode not in ("append", "overwrite", "partitions"):
         raise ValueError(f"unknown write mode: {mode}")
-    writer = df.write.format("parquet").mode(mode)
+    ordered = df.select(*[c for c in df.columns if c not in partition_by], *partition_by)
+    if mode == "partitions" and not is_path(table) and table_exists(df.sparkSession, table):
+        _insert_partitions(ordered, table)
+        return
+    # an overwrite replaces the table, also where the session would keep other partitions
+    writer = (df if is_path(table) else ordered).write.format("parquet")
+    writer = writer.mode("append" if mode == "append" else "overwrite")
     if partition_by:
-        # an overwrite replaces the table, also where the session would keep other partitions
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
+        writer = writer.partitionBy(*partition_by)
+        writer = writer.option("partitionOverwriteMode", "dynamic" if mode == "partitions" else "static")
     if is_path(table):
         writer.save(table)
     else:
@@ -95,8 +122,10 @@ def _put(
         export_csv(df, schema.names, table)
         return
     guarded = _guarded(df, schema)
+    if "batch" in partition_by:
+        guarded = guarded.withColumn("batch", batch_name(F.col("ingested_at")))
     ordered = _clustered(guarded, [*partition_by, *sort_by], cluster) if sort_by else guarded
-    _save(ordered, table, mode, partition_by)
+    save(ordered, table, mode, partition_by)
 
 
 def write_raw(
