@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +11,14 @@ from pyspark.sql.types import ArrayType, DateType, TimestampType
 
 from shiftledger import schemas as S
 from shiftledger.operators import validate_records
+from shiftledger.plans import batches
 from shiftledger.plans.operations import kpi_of_staged
 from shiftledger.plans.staging import stg_shift_logs
+from shiftledger.plans.upkeep import update_views
 from shiftledger.session import new_folder
 from shiftledger.sinks import write_raw, write_validated
+from shiftledger.sinks.tables import batch_name
+from shiftledger.sources.tables import TableNames
 
 from .fx import NAMESPACE, shift_logs
 
@@ -58,6 +63,27 @@ def kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi_of_staged(staged(spark, sf_dir))
 
 
+_kept: dict[tuple[str, str], TableNames] = {}
+
+
+def kept_up(spark: SparkSession, sf_dir: str) -> TableNames:
+    """Tables whose views have been brought up to date after each run, one batch a run."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _kept:
+        tables = TableNames(new_folder(spark, "kept"))
+        records = stored_validated(spark, sf_dir)
+        runs = records.select("run_id", "ingested_at").distinct().orderBy("run_id").collect()
+        for run_id, instant in runs:
+            of_run = records.where((F.col("run_id") == run_id) & (F.col("ingested_at") == F.lit(instant)))
+            write_validated(of_run, tables.validated, "partitions", partition_by=batches.PARTITIONS)
+            batch = of_run.select(batch_name(F.col("ingested_at"))).first()[0]
+            at = datetime.strptime(batch, "%Y%m%dT%H%M%SZ").replace(tzinfo=timezone.utc)
+            batches.mark(spark, tables, batches.Batch(run_id, at), "validated", of_run.count())
+            update_views(spark, tables)
+        _kept[key] = tables
+    return _kept[key]
+
+
 def shown(df: DataFrame) -> DataFrame:
     """Instants and dates as text, arrays joined by ``"; "``."""
 

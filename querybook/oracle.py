@@ -622,3 +622,23 @@ ORACLE = {
         "(VALUES (2, 'append'), (1, 'truncate')) AS m(k, write_mode)",
     ),
 }
+
+# other ways to the same rows
+ORACLE |= {
+    name: ORACLE[same]
+    for name, same in {
+        "report_filter_stored": "report_filter_dates",
+        "dedup_bucketed": "dedup_latest",
+        "upkeep_dedup": "validated_dedup",
+        "upkeep_kpi": "shift_log_kpi",
+        "upkeep_dq_metrics": "dq_metrics_by_run",
+        "upkeep_dq_reasons": "dq_invalid_reasons_by_run",
+        "upkeep_summary": "kpi_summary",
+        "upkeep_daily_trend": "kpi_daily_trend",
+        "upkeep_by_line": "kpi_by_line",
+        "upkeep_by_shift": "kpi_by_shift",
+        "upkeep_line_shift": "line_shift_performance",
+        "upkeep_drilldown": "kpi_drilldown",
+        "upkeep_pareto": "downtime_pareto",
+    }.items()
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,8 @@ from shiftledger.operators import checks
 from shiftledger.plans import batches, measures, operations, quality
 from shiftledger.plans.ingest import run_ingest, store_raw
 from shiftledger.plans.marts import build_marts
+from shiftledger.plans.staging import stg_shift_logs
+from shiftledger.plans.upkeep import kept_up_views
 from shiftledger.session import new_folder
 from shiftledger.sinks import (
     disposition,
@@ -40,12 +43,14 @@ from shiftledger.sinks import (
     write_raw,
     write_validated,
 )
+from shiftledger.sinks.buckets import latest_of_buckets, write_validated_buckets
 from shiftledger.sinks.tables import null_counts
 from shiftledger.sources.shift_csv import read_shift_logs, scan_shift_logs
 from shiftledger.sources.tables import TableNames, read_table
 
 from .frames import (
     chunk_of,
+    kept_up,
     kpi,
     shown,
     staged,
@@ -300,6 +305,38 @@ def report_filter(spark, sf_dir):
     )
 
 
+def report_filter_stored(spark, sf_dir):
+    """The slicer on true dates over a table stored by month."""
+    path = new_folder(spark, "kpi-by-month")
+    write_kpi(kpi(spark, sf_dir), path, by_month=True)
+    dates, true_date = ("1993-01-01", "1996-12-31"), normalize_date(F.col("date"))
+    return shown(measures.report_filter(spark.read.parquet(path), dates=dates, date_col=true_date))
+
+
+def dedup_bucketed(spark, sf_dir):
+    """The latest records from a table in buckets of the key."""
+    name = f"validated_buckets_{uuid.uuid4().hex}"
+    path = new_folder(spark, "buckets")
+    write_validated_buckets(stored_validated(spark, sf_dir), name, buckets=16, path=path)
+    return shown(stg_shift_logs(latest_of_buckets(spark, name)))
+
+
+def _kept_up(view):
+    """A view that three updates have kept up, one for each run."""
+
+    def query(spark, sf_dir):
+        return shown(kept_up_views(spark, kept_up(spark, sf_dir))[view])
+
+    return query
+
+
+def upkeep_pareto(spark, sf_dir):
+    pareto = kept_up_views(spark, kept_up(spark, sf_dir))["v_downtime_reason_pareto"]
+    return pareto.withColumns(
+        {c: F.round(c, 9) for c in ("downtime_share", "cumulative_downtime_share")}
+    )
+
+
 def _of_marts(view, *beside):
     """One view out of several built together, where groupings share a pass."""
 
@@ -630,6 +667,19 @@ QUERIES = {
     "defect_rate_by_line": _of_kpi(measures.defect_rate_by_line),
     "report_filter": report_filter,
     "report_filter_dates": report_filter_dates,
+    "report_filter_stored": report_filter_stored,
+    "dedup_bucketed": dedup_bucketed,
+    "upkeep_dedup": _kept_up("shift_log_validated_dedup"),
+    "upkeep_kpi": _kept_up("shift_log_kpi"),
+    "upkeep_dq_metrics": _kept_up("v_dq_metrics_by_run"),
+    "upkeep_dq_reasons": _kept_up("v_dq_invalid_reasons_by_run"),
+    "upkeep_summary": _kept_up("v_manufacturing_kpi_summary"),
+    "upkeep_daily_trend": _kept_up("v_manufacturing_kpi_daily_trend"),
+    "upkeep_by_line": _kept_up("v_manufacturing_kpi_by_line"),
+    "upkeep_by_shift": _kept_up("v_manufacturing_kpi_by_shift"),
+    "upkeep_line_shift": _kept_up("v_line_shift_performance"),
+    "upkeep_drilldown": _kept_up("v_shift_log_kpi_drilldown"),
+    "upkeep_pareto": upkeep_pareto,
     "marts_all": marts_all,
     "marts_summary": _of_marts("v_manufacturing_kpi_summary", "v_manufacturing_kpi_by_line"),
     "marts_daily_trend": _of_marts("v_manufacturing_kpi_daily_trend", "v_manufacturing_kpi_by_line"),

@@ -74,14 +74,15 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
 
 
-def _with_batch(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+def with_batch(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    """All rows of a table with the name of their batch."""
     wide = StructType([*schema.fields]).add("batch", StringType())
     return read_table(spark, table, wide)
 
 
 def read_batch(spark: SparkSession, table: str, schema: StructType, batch: Batch) -> DataFrame:
     """Rows of one batch; only its partition is opened."""
-    rows = _with_batch(spark, table, schema)
+    rows = with_batch(spark, table, schema)
     return rows.where((F.col("run_id") == batch.run_id) & (F.col("batch") == batch.name)).select(*schema.names)
 
 
@@ -96,5 +97,5 @@ def read_whole_batches(spark: SparkSession, tables: TableNames, layer: str = "va
     whole = whole_batches(spark, tables)
     if whole.limit(BROADCAST_BATCHES + 1).count() <= BROADCAST_BATCHES:
         whole = F.broadcast(whole)
-    rows = _with_batch(spark, tables.of(layer), schema)
+    rows = with_batch(spark, tables.of(layer), schema)
     return rows.join(whole, list(PARTITIONS), "left_semi").select(*schema.names)

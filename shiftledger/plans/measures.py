@@ -53,7 +53,8 @@ def report_filter(
     """Report slicers; plain predicates, so they push down to a stored mart.
 
     ``dates`` is a range of the raw date texts; with ``date_col``, such as
-    ``normalize_date(F.col("date"))``, it is one of true dates.
+    ``normalize_date(F.col("date"))``, it is one of true dates. A table stored by month then opens
+    the partitions of these months only; their column is not part of the result.
     """
     wanted = {"run_id": run_ids, "source_file": source_files, "line": lines, "shift": shifts}
     for name, values in wanted.items():
@@ -64,4 +65,6 @@ def report_filter(
             df = df.where(F.col("date").between(*dates))
         else:
             df = df.where(date_col.between(*[F.lit(d).cast("date") for d in dates]))
-    return df
+            if "month" in df.columns:
+                df = df.where(F.col("month").between(dates[0][:7], dates[1][:7]))
+    return df.drop("month")

@@ -15,7 +15,7 @@ from ..session import stage
 # megabytes) one task computes them; beyond it the distributed running total does.
 PARETO_SINGLE_TASK_REASONS = 100_000
 
-_SUMS = ("planned_output", "actual_output", "defect_qty", "downtime_min")
+SUMS = ("planned_output", "actual_output", "defect_qty", "downtime_min")
 _SUMMARY_NAMES = (
     "total_planned_output",
     "total_actual_output",
@@ -24,8 +24,8 @@ _SUMMARY_NAMES = (
 )
 
 
-def shift_log_kpi(dedup: DataFrame) -> DataFrame:
-    """Valid rows of a deduplicated view with the three ratios.
+def shift_log_kpi(dedup: DataFrame, *more: str) -> DataFrame:
+    """Valid rows of a deduplicated view with the three ratios, and ``more`` of its columns.
 
     Validity is tested after deduplication on purpose: where the latest record of a key is
     invalid, that key has no KPI row.
@@ -50,6 +50,7 @@ def shift_log_kpi(dedup: DataFrame) -> DataFrame:
         safe_divide(F.col("actual_output"), F.col("planned_output")).alias("production_achievement"),
         safe_divide(F.col("defect_qty"), F.col("actual_output")).alias("defect_rate"),
         safe_divide(F.col("downtime_min"), F.lit(SHIFT_MINUTES)).alias("downtime_rate"),
+        *more,
     )
 
 
@@ -115,8 +116,8 @@ def kpi_by(kpi: DataFrame, *by: str) -> DataFrame:
     """Sums per group and ratios of those sums, never means of row ratios."""
     return (
         kpi.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("shift_count"), *[F.sum(c).alias(c) for c in _SUMS])
-        .withColumns(_ratios_of_sums("shift_count", *_SUMS))
+        .agg(F.count(F.lit(1)).alias("shift_count"), *[F.sum(c).alias(c) for c in SUMS])
+        .withColumns(_ratios_of_sums("shift_count", *SUMS))
     )
 
 
@@ -141,7 +142,30 @@ def kpi_summary(kpi: DataFrame) -> DataFrame:
     """One row always; without any KPI row the count is 0 and everything else NULL."""
     return kpi.agg(
         F.count(F.lit(1)).alias("kpi_records"),
-        *[F.sum(source).alias(name) for source, name in zip(_SUMS, _SUMMARY_NAMES)],
+        *[F.sum(source).alias(name) for source, name in zip(SUMS, _SUMMARY_NAMES)],
+    ).withColumns(_ratios_of_sums("kpi_records", *_SUMMARY_NAMES))
+
+
+PARTIAL_KEYS = ("date", "line", "shift", "downtime_reason")
+
+
+def kpi_partials(kpi: DataFrame, *by: str) -> DataFrame:
+    """Sums of KPI rows in the finest grouping of any view, within ``by``; all views follow from them."""
+    return kpi.groupBy(*by, *PARTIAL_KEYS).agg(
+        F.count(F.lit(1)).alias("shift_count"), *[F.sum(c).alias(c) for c in SUMS]
+    )
+
+
+def partials_by(partials: DataFrame, *by: str) -> DataFrame:
+    """A view from partial sums, equal to ``kpi_by`` or, without keys, to ``kpi_summary`` of the rows."""
+    sums = [F.sum(c).alias(c) for c in SUMS]
+    if by:
+        added = partials.groupBy(*by).agg(F.sum("shift_count").alias("shift_count"), *sums)
+        return added.withColumns(_ratios_of_sums("shift_count", *SUMS))
+    names = dict(zip(SUMS, _SUMMARY_NAMES))
+    return partials.agg(
+        F.coalesce(F.sum("shift_count"), F.lit(0)).alias("kpi_records"),
+        *[F.sum(source).alias(name) for source, name in names.items()],
     ).withColumns(_ratios_of_sums("kpi_records", *_SUMMARY_NAMES))
 
 
@@ -160,7 +184,7 @@ def kpi_rollups(kpi: DataFrame) -> DataFrame:
     return kpi.groupingSets(groupings, *[F.col(c) for c in _ROLLUP_KEYS]).agg(
         F.grouping_id().alias("grouping"),
         F.count(F.lit(1)).alias("shift_count"),
-        *[F.sum(c).alias(c) for c in _SUMS],
+        *[F.sum(c).alias(c) for c in SUMS],
     )
 
 
@@ -169,13 +193,13 @@ def rollup_view(rollups: DataFrame, *by: str) -> DataFrame:
     rows = rollups.where(F.col("grouping") == _ROLLUP_IDS[by])
     if not by:
         # without any KPI row there is no group, but the summary still has its row
-        names = dict(zip(_SUMS, _SUMMARY_NAMES))
+        names = dict(zip(SUMS, _SUMMARY_NAMES))
         return rows.agg(
             F.coalesce(F.sum("shift_count"), F.lit(0)).alias("kpi_records"),
             *[F.sum(source).alias(name) for source, name in names.items()],
         ).withColumns(_ratios_of_sums("kpi_records", *_SUMMARY_NAMES))
-    return rows.select(*by, "shift_count", *_SUMS).withColumns(
-        _ratios_of_sums("shift_count", *_SUMS)
+    return rows.select(*by, "shift_count", *SUMS).withColumns(
+        _ratios_of_sums("shift_count", *SUMS)
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,10 +40,14 @@ _PARSE_FLAGS = (
 )
 
 
-def reason_flags(staged: DataFrame, reason_catalog: Mapping[str, str] = METRIC_REASONS) -> DataFrame:
+def reason_flags(
+    staged: DataFrame,
+    reason_catalog: Mapping[str, str] = METRIC_REASONS,
+    scope: Sequence[str] = SCOPE,
+) -> DataFrame:
     """Scope, validity columns and one boolean per catalogue entry (``r_<name>``)."""
     return staged.select(
-        *SCOPE,
+        *scope,
         "ingested_at",
         "is_valid",
         "is_duplicate",
@@ -54,10 +58,15 @@ def reason_flags(staged: DataFrame, reason_catalog: Mapping[str, str] = METRIC_R
     )
 
 
-def dq_metrics_by_run(
-    staged: DataFrame, reason_catalog: Mapping[str, str] = METRIC_REASONS
+def metric_counts(
+    staged: DataFrame,
+    reason_catalog: Mapping[str, str] = METRIC_REASONS,
+    scope: Sequence[str] = SCOPE,
 ) -> DataFrame:
-    """Counts and rates per run and file, one partial and one final aggregation."""
+    """Counts per run and file, or another scope, one partial and one final aggregation.
+
+    Counts of several sets of records add up to those of all, see ``add_metric_counts``.
+    """
 
     def flag(name: str) -> Column:
         return F.col(f"r_{name}")
@@ -66,37 +75,76 @@ def dq_metrics_by_run(
     parse_error = flag(_PARSE_FLAGS[0])
     for name in _PARSE_FLAGS[1:]:
         parse_error = parse_error | flag(name)
-    total = F.count(F.lit(1))
-    valid = F.count_if(F.col("is_valid").eqNullSafe(True))
     return (
-        reason_flags(staged, reason_catalog)
-        .groupBy(*SCOPE)
+        reason_flags(staged, reason_catalog, scope)
+        .groupBy(*scope)
         .agg(
             F.min("ingested_at").alias("run_started_at"),
             F.max("ingested_at").alias("run_last_seen_at"),
-            total.alias("total_rows"),
-            valid.alias("rows_valid"),
+            F.count(F.lit(1)).alias("total_rows"),
+            F.count_if(F.col("is_valid").eqNullSafe(True)).alias("rows_valid"),
             F.count_if(F.col("is_valid").eqNullSafe(False)).alias("rows_invalid"),
-            safe_divide(valid, total).alias("valid_rate"),
             F.count_if(~flag("duplicate") & ~flag("missing_id_fields")).alias("unique_shift_logs"),
             *[F.count_if(flag(source)).alias(name) for name, source in _COUNTERS.items()],
             F.count_if(duplicate).alias("duplicate_rows"),
-            safe_divide(F.count_if(duplicate), total).alias("duplicate_rate"),
-            safe_divide(F.count_if(parse_error), total).alias("numeric_parse_error_rate"),
+            F.count_if(parse_error).alias("parse_error_rows"),
         )
     )
 
 
-def invalid_reason_counts(staged: DataFrame) -> DataFrame:
+def add_metric_counts(counts: DataFrame) -> DataFrame:
+    """One row per run and file from the counts of several sets of their records."""
+    added = ("total_rows", "rows_valid", "rows_invalid", "unique_shift_logs", *_COUNTERS, "duplicate_rows", "parse_error_rows")
+    return counts.groupBy(*SCOPE).agg(
+        F.min("run_started_at").alias("run_started_at"),
+        F.max("run_last_seen_at").alias("run_last_seen_at"),
+        *[F.sum(c).alias(c) for c in added],
+    )
+
+
+def metrics_of_counts(counts: DataFrame) -> DataFrame:
+    """Counts and rates in the columns of the view."""
+
+    def share(name: str, of: str) -> Column:
+        return safe_divide(F.col(of), F.col("total_rows")).alias(name)
+
+    return counts.select(
+        *SCOPE,
+        "run_started_at",
+        "run_last_seen_at",
+        "total_rows",
+        "rows_valid",
+        "rows_invalid",
+        share("valid_rate", "rows_valid"),
+        "unique_shift_logs",
+        *_COUNTERS,
+        "duplicate_rows",
+        share("duplicate_rate", "duplicate_rows"),
+        share("numeric_parse_error_rate", "parse_error_rows"),
+    )
+
+
+def dq_metrics_by_run(
+    staged: DataFrame, reason_catalog: Mapping[str, str] = METRIC_REASONS
+) -> DataFrame:
+    """Counts and rates per run and file."""
+    return metrics_of_counts(metric_counts(staged, reason_catalog))
+
+
+def invalid_reason_counts(staged: DataFrame, scope: Sequence[str] = SCOPE) -> DataFrame:
     """Rows per run, file and reason; a record counts once under each of its reasons."""
     return (
-        staged.select(*SCOPE, F.explode("invalid_reason").alias("reason"))
-        .groupBy(*SCOPE, "reason")
+        staged.select(*scope, F.explode("invalid_reason").alias("reason"))
+        .groupBy(*scope, "reason")
         .agg(F.count(F.lit(1)).alias("rows_count"))
         .withColumnRenamed("reason", "invalid_reason")
     )
 
 
+def add_reason_counts(counts: DataFrame) -> DataFrame:
+    return counts.groupBy(*SCOPE, "invalid_reason").agg(F.sum("rows_count").alias("rows_count"))
+
+
 def most_frequent_first(counts: DataFrame) -> DataFrame:
     return counts.orderBy("run_id", F.desc("rows_count"))
 

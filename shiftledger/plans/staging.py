@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def stg_shift_logs(validated: DataFrame) -> DataFrame:
-    """Normalised and typed columns under plain names; ``date`` stays the raw text."""
+def stg_shift_logs(validated: DataFrame, *more: str) -> DataFrame:
+    """Normalised and typed columns under plain names; ``date`` stays the raw text.
+
+    ``more`` columns of the stored table, such as those of its partitions, come behind.
+    """
     renamed = {
         "shift_normalized": "shift",
         "line_normalized": "line",
@@ -31,4 +34,5 @@ def stg_shift_logs(validated: DataFrame) -> DataFrame:
         "source_file",
         "row_number",
         "run_id",
+        *more,
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from .. import schemas as S
+from ..functions import normalize_date
 from ..sources.tables import is_path, table_exists
 from .csv_export import export_csv
 
@@ -22,6 +23,13 @@ def batch_name(instant: Column) -> Column:
     return F.date_format(utc, "yyyyMMdd'T'HHmmss'Z'")
 
 
+#: Partition columns that follow from others.
+_PARTITIONS = {
+    "batch": lambda: batch_name(F.col("ingested_at")),
+    "month": lambda: F.date_format(normalize_date(F.col("date")), "yyyy-MM"),
+}
+
+
 def disposition(write_mode: str | None) -> str:
     """``truncate`` replaces the table, anything else appends to it."""
     return "overwrite" if write_mode == "truncate" else "append"
@@ -40,7 +48,7 @@ def require_not_null(df: DataFrame, cols: Sequence[str]) -> None:
         raise ValueError(f"required columns hold NULL: {broken}")
 
 
-def _guarded(df: DataFrame, schema: StructType) -> DataFrame:
+def guarded(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns of the schema in order; a NULL in a required one fails the write.
 
     The test rides along with the write, so the input is not computed twice for it.
@@ -121,10 +129,9 @@ def _put(
     if dest == "local":
         export_csv(df, schema.names, table)
         return
-    guarded = _guarded(df, schema)
-    if "batch" in partition_by:
-        guarded = guarded.withColumn("batch", batch_name(F.col("ingested_at")))
-    ordered = _clustered(guarded, [*partition_by, *sort_by], cluster) if sort_by else guarded
+    rows = guarded(df, schema)
+    rows = rows.withColumns({c: _PARTITIONS[c]() for c in partition_by if c in _PARTITIONS})
+    ordered = _clustered(rows, [*partition_by, *sort_by], cluster) if sort_by else rows
     save(ordered, table, mode, partition_by)
 
 
@@ -163,6 +170,11 @@ def write_kpi(
     mode: str = "append",
     dest: str = "table",
     cluster: str = "local",
+    by_month: bool = False,
 ) -> None:
-    """KPI rows, sorted by business key, which is unique among them."""
-    _put(df, S.KPI_SCHEMA, table, mode, dest, ("shift_log_id",), cluster)
+    """KPI rows, sorted by business key, which is unique among them.
+
+    With ``by_month`` the table has a partition for each month of the true date, beside the raw date
+    text; ``report_filter`` uses it where it filters true dates.
+    """
+    _put(df, S.KPI_SCHEMA, table, mode, dest, ("shift_log_id",), cluster, ("month",) if by_month else ())

@@ -7,7 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-LAYERS = ("raw", "validated", "kpi", "validated_dedup", "batches", "latest", "partials")
+LAYERS = (
+    "raw", "validated", "kpi", "validated_dedup", "batches",
+    "latest", "kpi_partials", "metric_counts", "reason_counts", "upkeep",
+)
 # the view on top of the stored tables lives in the dataset of the build target
 _TARGET_LAYERS = ("validated_dedup",)
 
@@ -52,14 +55,6 @@ class TableNames:
     def batches(self) -> str:
         return self.of("batches")
 
-    @property
-    def latest(self) -> str:
-        return self.of("latest")
-
-    @property
-    def partials(self) -> str:
-        return self.of("partials")
-
     @property
     def kpi(self) -> str:
         return self.of("kpi")
