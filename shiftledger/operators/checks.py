@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..schemas import SHIFTS
 
 RESULT_COLUMNS = ("model", "check_name", "column_name", "failures", "status")
-_ENTRY_SCHEMA = "model string, check_name string, column_name string, failures bigint"
 
 
 def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -139,56 +138,44 @@ def suite_size(suite: Mapping[str, dict] = SUITE) -> int:
     return sum(len(declared) for checks in suite.values() for declared in checks.values())
 
 
-def _entry(model: str, check: str, column: str, failures: Column) -> list[Column]:
-    return [
-        F.lit(model).alias("model"),
-        F.lit(check).alias("check_name"),
-        F.lit(column).alias("column_name"),
-        failures.cast("bigint").alias("failures"),
-    ]
+def _declared(suite: Mapping[str, dict], frames: Mapping[str, DataFrame]) -> list[tuple]:
+    """Every check on the given models: model, kind, columns, accepted values."""
+    found = []
+    for model, checks in suite.items():
+        if model in frames:
+            found += [(model, "not_null", (c,), None) for c in checks.get("not_null", ())]
+            found += [(model, "accepted_values", (c,), v) for c, v in checks.get("accepted_values", {}).items()]
+            found += [(model, "unique", (c,), None) for c in checks.get("unique", ())]
+            found += [(model, "unique_combination", tuple(c), None) for c in checks.get("unique_combination", ())]
+    return found
 
 
-def _one_pass(df: DataFrame, model: str, counts: Sequence[tuple[str, str, Column]]) -> DataFrame:
-    """One result row per (check, column, failures), all counted in a single pass over the model."""
-    named = [(check, column, f"n{i}") for i, (check, column, _) in enumerate(counts)]
-    counted = df.agg(*[n.alias(f"n{i}") for i, (_, _, n) in enumerate(counts)])
-    rows = [F.struct(*_entry(model, check, column, F.col(n))) for check, column, n in named]
-    return counted.select(F.inline(F.array(*rows)))
-
-
-def _model_results(model: str, df: DataFrame, checks: Mapping) -> tuple[list[DataFrame], list]:
-    """Result frames of one model and the entries whose column it lacks."""
-    parts, absent = [], []
-    known = set(df.columns)
-
-    def present(check: str, *cols: str) -> bool:
-        if known.issuperset(cols):
-            return True
-        absent.append((model, check, ", ".join(cols), None))
-        return False
-
-    def count_groups(check: str, column: str, failing: DataFrame) -> None:
-        counted = failing.agg(F.count(F.lit(1)).alias("n"))
-        parts.append(counted.select(*_entry(model, check, column, F.col("n"))))
-
-    counts = [
-        ("not_null", c, F.count_if(F.col(c).isNull()))
-        for c in checks.get("not_null", ())
-        if present("not_null", c)
-    ] + [
-        ("accepted_values", c, F.count_distinct(F.when(~F.col(c).isin(*values), F.col(c))))
-        for c, values in checks.get("accepted_values", {}).items()
-        if present("accepted_values", c)
-    ]
-    if counts:
-        parts.append(_one_pass(df, model, counts))
-    for c in checks.get("unique", ()):
-        if present("unique", c):
-            count_groups("unique", c, unique(df, c))
-    for cols in checks.get("unique_combination", ()):
-        if present("unique_combination", *cols):
-            count_groups("unique_combination", ", ".join(cols), unique_combination(df, cols))
-    return parts, absent
+def _finding(number: int, value: Column) -> Column:
+    return F.struct(F.lit(number).alias("number"), value.alias("value"))
+
+
+def _findings(df: DataFrame, checks: Sequence[tuple[int, tuple]]) -> DataFrame:
+    """``number`` of a check and a ``value``, in one pass over a model.
+
+    Uniqueness takes a row for every value, the other checks one for every failure, so a record
+    without failures is spread over its unique columns only.
+    """
+    always, seldom, failing = [], [], F.lit(False)
+    for number, (_, kind, cols, accepted) in checks:
+        value = F.col(cols[0])
+        if kind == "unique":
+            always.append(F.when(value.isNotNull(), _finding(number, value.cast("string"))))
+        elif kind == "unique_combination":
+            always.append(_finding(number, F.to_json(F.struct(*cols))))
+        else:
+            fails = value.isNull() if kind == "not_null" else value.isNotNull() & ~value.isin(*accepted)
+            shown = F.lit("") if kind == "not_null" else value.cast("string")
+            seldom.append(F.when(fails, _finding(number, shown)))
+            failing = failing | fails
+    usual = F.array(*always) if always else F.array().cast("array<struct<number:int,value:string>>")
+    entries = F.when(failing, F.array(*always, *seldom)).otherwise(usual) if seldom else usual
+    found = df.select(F.explode(entries).alias("found")).where(F.col("found").isNotNull())
+    return found.select("found.number", "found.value")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -205,23 +192,40 @@ def run_checks(frames: Mapping[str, DataFrame], suite: Mapping[str, dict] = SUIT
     """One result row per declared check over the given models.
 
     A failing check is a result, not an error. A check on a column the model lacks is reported
-    as "column missing". Models absent from ``frames`` are skipped. All NULL and
-    accepted-values checks of a model share one pass; every other check aggregates before it
-    shuffles.
+    as "column missing". Models absent from ``frames`` are skipped. Each model is read once, and
+    all checks of all models share one exchange of values, counted in every task before.
     """
-    parts, absent = [], []
-    for model, checks in suite.items():
-        if model in frames:
-            results, lacking = _model_results(model, frames[model], checks)
-            parts += results
-            absent += lacking
-    if absent:
-        spark = next(iter(frames.values())).sparkSession
-        parts.append(spark.createDataFrame(absent, _ENTRY_SCHEMA))
-    failures = F.col("failures")
-    return _union(parts).withColumn(
-        "status",
-        F.when(failures.isNull(), F.lit("column missing"))
-        .when(failures == 0, F.lit("pass"))
-        .otherwise(F.lit("fail")),
+    declared = _declared(suite, frames)
+    lacking = {n for n, (model, _, cols, _) in enumerate(declared) if not set(frames[model].columns).issuperset(cols)}
+    parts = []
+    for model, df in frames.items():
+        its = [(n, check) for n, check in enumerate(declared) if check[0] == model and n not in lacking]
+        if its:
+            parts.append(_findings(df, its))
+    kind, values, repeated = F.col("check_name"), F.col("values"), F.col("repeated")
+    entries = [
+        F.struct(
+            F.lit(n).alias("number"),
+            F.lit(model).alias("model"),
+            F.lit(check).alias("check_name"),
+            F.lit(", ".join(cols)).alias("column_name"),
+            F.lit(n in lacking).alias("lacking"),
+        )
+        for n, (model, check, cols, _) in enumerate(declared)
+    ]
+    spark = next(iter(frames.values())).sparkSession
+    rows = spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
+    failures = F.lit(0).cast("bigint")
+    if parts:
+        counted = _union(parts).groupBy("number", "value").agg(F.count(F.lit(1)).alias("n"))
+        per_check = counted.groupBy("number").agg(
+            F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"), F.count_if(F.col("n") > 1).alias("repeated")
+        )
+        # one row per check at most
+        rows = rows.join(F.broadcast(per_check), "number", "left")
+        found = F.when(kind == "not_null", F.col("rows")).when(kind == "accepted_values", values).otherwise(repeated)
+        failures = F.coalesce(found, failures)
+    status = F.when(F.col("lacking"), "column missing").when(F.col("failures") == 0, "pass").otherwise("fail")
+    return rows.withColumn("failures", F.when(~F.col("lacking"), failures)).select(
+        "model", "check_name", "column_name", "failures", status.alias("status")
     )

@@ -62,7 +62,7 @@ def build_marts(validated: DataFrame, names: Iterable[str] | None = None) -> dic
     """The views over a validated table, or the named ones with their upstream.
 
     Calling this starts jobs. Record-level views stay lazy. What several views would compute again is computed once and
-    staged as a columnar table in the shared work area: the deduplicated rows with a key, which
+    staged as a columnar table in the shared work area: the deduplicated rows, which
     up to eight views read (where only aggregated views are asked for: the eight columns of the
     KPI rows that these read), and the sums of all groupings of the KPI rows. Aggregated quality
     views are staged too, since a dashboard and the checks read them several times.
@@ -73,13 +73,12 @@ def build_marts(validated: DataFrame, names: Iterable[str] | None = None) -> dic
     of_kpi = [name for name in order if UPSTREAM[name] == "shift_log_kpi"]
     groupings = [name for name in of_kpi if name in _GROUPINGS]
 
-    keyed = dedup_latest(staged)
     whole_records = not _RECORD_LEVEL.isdisjoint(wanted)
-    if len(of_kpi) > 1 and whole_records:
-        keyed = stage(keyed, "dedup")
-    # the second part adds nothing under the standard rules, and its filters (no key, valid)
+    # the second part adds no KPI row under the standard rules, and its filters (no key, valid)
     # let the scan skip nearly every row group
-    dedup = keyed.unionByName(staged.where(staged["shift_log_id"].isNull()))
+    dedup = dedup_latest(staged).unionByName(staged.where(staged["shift_log_id"].isNull()))
+    if len(of_kpi) > 1 and whole_records:
+        dedup = stage(dedup, "dedup")
     kpi = ops.shift_log_kpi(dedup)
     measured = kpi
     if len(of_kpi) > 1 and not whole_records:

@@ -73,6 +73,7 @@ def test_slicers_reach_the_scan(spark, sf_dir):
 
 
 def test_check_suite_scans(spark, sf_dir):
-    """One scan per model for NULLs and accepted values, one per uniqueness key."""
+    """One scan per model, and one exchange of values for all checks of all models."""
     plan = plan_of(check_suite(spark, sf_dir))
-    assert plan.count("FileScan") <= 30 and "NestedLoop" not in plan
+    assert plan.count("FileScan") <= 14 and "NestedLoop" not in plan
+    assert plan.count("Exchange hashpartitioning(number") == 2
