@@ -8,7 +8,8 @@ block; Viterbi gives the best labelling, and the blocks labelled as main text ar
 
 The field is trained on the labelled pages of ``labelled_pages``; no page of a table is learned
 from. Scripts, styles, comments and what is never shown are not text. Character references are
-decoded, white space in a block becomes one space. A null or empty page, or one without main text,
+decoded, white space in a block becomes one space. A page is read in time that grows with its length,
+whatever its tags: quotes without partner, tags without end and deep nesting included. A null or empty page, or one without main text,
 gives an empty text; repeated rows are treated alike; nothing is cut off, whatever the length.
 """
 
@@ -32,15 +33,14 @@ EPOCHS = 12
 RATE = 0.3
 PENALTY = 1e-4
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)>|<[!?][^>]*>",
-    re.S | re.I,
-)
+_OPENING = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:-]*))")
+#: Attributes up to the end of their tag, a quote without its partner, or the end of the page.
+_ATTRIBUTES = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
 #: Elements whose content is not text, by the end tag that is looked for. Without one, the first
 #: four run to the end of the page as in browsers; of the others only the tag is left out.
 _RAW = frozenset("script style textarea title".split())
 _SKIPPED = {
-    tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in [*_RAW, *"template noscript svg select iframe object".split()]
+    tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in [*_RAW, *"template noscript svg select iframe object".split()]
 }
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-label)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
@@ -61,17 +61,30 @@ _CLOSES = {
 }
 
 
+@dataclass(eq=False, slots=True)
+class Node:
+    """An open block-level element. All blocks in it share it, so a path is a chain, not a copy."""
+
+    tag: str
+    parent: Node | None
+    depth: int
+    #: feature buckets of its tag and of the words of its attributes that no ancestor has
+    fresh: tuple[int, ...]
+
+
 @dataclass
 class Block:
     text: str
-    #: (tag, words of its attributes), outermost first
-    path: tuple[tuple[str, tuple[str, ...]], ...]
+    node: Node | None
     #: characters inside links
     linked: int
 
 
-@lru_cache(maxsize=4096)
 def _words_of(attributes: str) -> tuple[str, ...]:
+    return _short_words(attributes) if len(attributes) < 1000 else _all_words(attributes)
+
+
+def _all_words(attributes: str) -> tuple[str, ...]:
     words = []
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         value = a or b or c
@@ -82,13 +95,136 @@ def _words_of(attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(words))
 
 
+_short_words = lru_cache(maxsize=4096)(_all_words)
+
+
+@dataclass(slots=True)
+class Tag:
+    """A tag from ``start`` to ``end``; what is no element (comments, declarations) has no name."""
+
+    start: int
+    end: int
+    name: str = ""
+    closing: bool = False
+    attributes: str = ""
+    empty: bool = False
+
+
+class Tags:
+    """The tags of a page, each character read a bounded number of times.
+
+    A quote in a tag goes with the next one of its kind; one without partner is a sign like others. A
+    tag without an end outside quotes ends at its first ``>``, and from the first such tag on
+    quotes are not looked at. A tag without any ``>``, as on a page cut off, takes the rest of it.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.quotes = True
+
+    def _end(self, at: int) -> int:
+        """Where the tag's ``>`` is, -1 if there is none."""
+        page, begin = self.page, at
+        while self.quotes:
+            at = _ATTRIBUTES.match(page, at).end()
+            if at == len(page):
+                self.quotes = False
+            elif page[at] == ">":
+                return at
+            else:
+                at += 1  # each kind of quote lacks its partner once at most
+        return page.find(">", begin)
+
+    def next(self, at: int) -> Tag | None:
+        """The first tag from ``at`` on."""
+        found = _OPENING.search(self.page, at)
+        if not found:
+            return None
+        start, name = found.start(), found.group(3)
+        if found.group(1):
+            end = self.page.find("-->", found.end())
+            return Tag(start, end + 3 if end >= 0 else len(self.page))
+        end = self._end(found.end()) if name else self.page.find(">", found.end())
+        if end < 0:
+            return Tag(start, len(self.page))
+        if not name:
+            return Tag(start, end + 1)
+        empty = self.page[end - 1] == "/" and end > found.end()
+        return Tag(start, end + 1, name.lower(), bool(found.group(2)), self.page[found.end() : end - empty], empty)
+
+
+def _all_features(tag: str, words: tuple[str, ...]) -> tuple[int, ...]:
+    return tuple(dict.fromkeys(_bucket(n) for n in [f"in={tag}", *(f"word={w}" for w in words)]))
+
+
+_element_features = lru_cache(maxsize=4096)(_all_features)
+
+
+class _Open:
+    """The open elements, and where the last one of each tag is."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self.nodes: list[Node | None] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.met: dict[int, int] = {}
+        self.owned: list[tuple[int, ...]] = []
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def node(self) -> Node | None:
+        return self.nodes[-1] if self.nodes else None
+
+    def open(self, tag: str, words: tuple[str, ...]) -> None:
+        parent, own = self.node(), ()
+        node = parent
+        if tag not in _INLINE:
+            own = _element_features(tag, words) if len(words) < 100 else _all_features(tag, words)
+            met = self.met
+            fresh = tuple([f for f in own if not met.get(f)])
+            for f in own:
+                met[f] = met.get(f, 0) + 1
+            node = Node(tag, parent, parent.depth + 1 if parent else 1, fresh)
+            self.blocks.append(len(self.tags))
+        self.places.setdefault(tag, []).append(len(self.tags))
+        self.tags.append(tag)
+        self.nodes.append(node)
+        self.owned.append(own)
+
+    def close(self, upto: int) -> None:
+        while len(self.tags) > upto:
+            self.places[self.tags.pop()].pop()
+            self.nodes.pop()
+            for f in self.owned.pop():
+                self.met[f] -= 1
+        while self.blocks and self.blocks[-1] >= upto:
+            self.blocks.pop()
+
+    def end(self, tag: str, block: bool) -> None:
+        at = self.last([tag])
+        # an inline end tag does not reach beyond its block
+        if at >= 0 and (block or not self.blocks or at >= self.blocks[-1]):
+            self.close(at)
+
+    def make_room(self, tag: str) -> None:
+        """Close what the opening tag of a block closes."""
+        if tag in _CLOSES:
+            closed, bounds = _CLOSES[tag]
+            at = self.last(closed)
+            if at > self.last(bounds):
+                self.close(at)
+        elif self.blocks and self.tags[self.blocks[-1]] == "p":
+            self.close(self.blocks[-1])
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """Blocks of text in page order; blocks of white space only are left out."""
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    tags, open_ = Tags(page), _Open()
     pieces: list[str] = []
     linked = 0
-    in_link = 0
     last = 0
     endless: set[str] = set()
 
@@ -97,76 +233,47 @@ def leaf_blocks(page: str) -> list[Block]:
         if pieces:
             text = _SPACES.sub(" ", html.unescape("".join(pieces))).strip()
             if text:
-                path = tuple(x for x in stack if x[0] not in _INLINE)
-                blocks.append(Block(text, path, linked))
+                blocks.append(Block(text, open_.node(), linked))
             pieces.clear()
         linked = 0
 
-    def close(upto: int) -> None:
-        nonlocal in_link
-        for tag, _ in stack[upto:]:
-            in_link -= tag == "a"
-        del stack[upto:]
-
-    while m := _TOKEN.search(page, last):
-        if m.start() > last:
-            piece = page[last : m.start()]
-            pieces.append(piece)
-            if in_link:
-                linked += len(piece)
-        last = m.end()
-        tag = m.group(2)
-        if tag is None:
+    while last < len(page):
+        tag = tags.next(last)
+        upto = tag.start if tag else len(page)
+        if upto > last:
+            pieces.append(page[last:upto])
+            if open_.places.get("a"):
+                linked += upto - last
+        if not tag:
+            break
+        last = tag.end
+        name = tag.name
+        if not name:
             continue
-        tag = tag.lower()
-        if tag in _SKIPPED and not m.group(1):
-            if tag == "svg" and m.group(4) or tag in endless:
+        if name in _SKIPPED and not tag.closing:
+            if name == "svg" and tag.empty or name in endless:
                 continue
-            end = _SKIPPED[tag].search(page, last)
-            if end:
-                last = end.end()
-            elif tag in _RAW:
+            end = _SKIPPED[name].search(page, last)
+            close = page.find(">", end.end()) if end else -1
+            if close >= 0:
+                last = close + 1
+            elif name in _RAW:
                 last = len(page)
             else:
-                endless.add(tag)
+                endless.add(name)
             continue
-        if tag == "br":
+        if name == "br":
             pieces.append(" ")
             continue
-        block = tag not in _INLINE and tag != "img" and tag != "input"
+        block = name not in _INLINE and name != "img" and name != "input"
         if block:
             flush()
-        if m.group(1):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-                # an inline end tag does not reach beyond its block
-                if not block and stack[i][0] not in _INLINE:
-                    break
-        elif tag not in _VOID and not m.group(4):
+        if tag.closing:
+            open_.end(name, block)
+        elif name not in _VOID and not tag.empty:
             if block:
-                if tag in _CLOSES:
-                    closed, bounds = _CLOSES[tag]
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] in bounds:
-                            break
-                        if stack[i][0] in closed:
-                            close(i)
-                            break
-                else:
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] == "p":
-                            close(i)
-                            break
-                        if stack[i][0] not in _INLINE:
-                            break
-            stack.append((tag, _words_of(m.group(3) or "")))
-            in_link += tag == "a"
-    if last < len(page):
-        pieces.append(page[last:])
-        if in_link:
-            linked += len(page) - last
+                open_.make_room(name)
+            open_.open(name, _words_of(tag.attributes))
     flush()
     return blocks
 
@@ -176,15 +283,28 @@ def _bucket(name: str) -> int:
     return zlib.crc32(name.encode()) % BUCKETS
 
 
-@lru_cache(maxsize=50_000)
-def _path_features(path: tuple[tuple[str, tuple[str, ...]], ...]) -> tuple[int, ...]:
-    names = [f"leaf={path[-1][0]}" if path else "leaf=none", f"depth={min(len(path), 8)}"]
-    if len(path) > 1:
-        names.append(f"up={path[-2][0]}>{path[-1][0]}")
-    for tag, words in path:
-        names.append(f"in={tag}")
-        names += [f"word={w}" for w in words]
-    return tuple(dict.fromkeys(_bucket(n) for n in names))
+@lru_cache(maxsize=4096)
+def _leaf_features(tag: str, up: str, depth: int) -> tuple[int, ...]:
+    """Features of the end of a path."""
+    names = [f"leaf={tag}", f"depth={depth}"]
+    if up:
+        names.append(f"up={up}>{tag}")
+    return tuple(map(_bucket, names))
+
+
+def _leaf_of(node: Node | None) -> tuple[int, ...]:
+    if not node:
+        return _leaf_features("none", "", 0)
+    return _leaf_features(node.tag, node.parent.tag if node.parent else "", min(node.depth, 8))
+
+
+def _path_features(node: Node | None) -> list[int]:
+    """Features of all elements around a block."""
+    found = []
+    while node:
+        found += node.fresh
+        node = node.parent
+    return found
 
 
 def _grade(n: float, *steps: float) -> int:
@@ -212,16 +332,21 @@ def _text_features(block: Block) -> tuple[int, ...]:
     return tuple(_bucket(n) for n in names)
 
 
-def features_of(blocks: list[Block]) -> list[tuple[int, ...]]:
-    """Feature buckets of each block, with the tag of the block before and after."""
-    leaves = ["start", *[b.path[-1][0] if b.path else "none" for b in blocks], "end"]
+def own_features(blocks: list[Block]) -> list[tuple[int, ...]]:
+    """Features of each block but those of its path: its text, its leaf, and the leaves beside it."""
+    leaves = ["start", *[b.node.tag if b.node else "none" for b in blocks], "end"]
     out = []
     for i, block in enumerate(blocks):
         near = (_bucket(f"before={leaves[i]}"), _bucket(f"after={leaves[i + 2]}"))
-        out.append((*_path_features(block.path), *_text_features(block), *near))
+        out.append((*_leaf_of(block.node), *_text_features(block), *near))
     return out
 
 
+def features_of(blocks: list[Block]) -> list[tuple[int, ...]]:
+    """All feature buckets of each block."""
+    return [(*own, *_path_features(b.node)) for own, b in zip(own_features(blocks), blocks)]
+
+
 @dataclass
 class Field:
     """Weights by feature for 'main' against 'other', and scores of changes ``[from, to]``."""
@@ -235,6 +360,20 @@ class Field:
         flat = np.fromiter((f for r in rows for f in r), np.int64, int(sizes.sum()))
         return np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes)
 
+    def scores(self, blocks: list[Block]) -> np.ndarray:
+        """The same as ``unary(features_of(blocks))``, with each element of the page added up once."""
+        summed: dict[Node | None, float] = {None: 0.0}
+        paths = np.zeros(len(blocks))
+        for i, block in enumerate(blocks):
+            chain, node = [], block.node
+            while node not in summed:
+                chain.append(node)
+                node = node.parent
+            for node in reversed(chain):
+                summed[node] = summed[node.parent] + float(sum(self.weights[f] for f in node.fresh))
+            paths[i] = summed[block.node]
+        return paths + self.unary(own_features(blocks))
+
     def decode(self, unary: np.ndarray) -> list[int]:
         """The best labels by Viterbi."""
         (oo, om), (mo, mm) = self.moves.tolist()
@@ -315,7 +454,7 @@ def main_text(page: str, field: Field) -> str:
     blocks = leaf_blocks(page)
     if not blocks:
         return ""
-    labels = field.decode(field.unary(features_of(blocks)))
+    labels = field.decode(field.scores(blocks))
     return "\n\n".join(b.text for b, label in zip(blocks, labels) if label)
 
 
