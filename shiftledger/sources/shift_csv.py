@@ -30,7 +30,7 @@ from ..functions import uuid_v5
 from ..schemas import RAW_SCHEMA, REQUIRED_COLUMNS, SOURCE_COLUMNS
 from ..session import stage
 from .csv_states import fields_of, has_break, is_blank, opens, records_of, stays, without_cr
-from .files import NO_HEADER, check_header, input_files, literal_path
+from .files import NO_HEADER, Inputs, check_header, input_files, literal_path
 
 # One row per block, about 400 bytes each as a broadcast table; 128 MB blocks of 100 TB are
 # 800,000 rows. Larger tables are joined by shuffle instead.
@@ -41,7 +41,7 @@ FIELD_LIMIT = 131_072
 CR_RUN = 1_000
 
 # pieces end at the first, read from the patterns beside it
-Inputs = list[tuple[str, list[str]]]
+Cuts = list[tuple[str, list[str]]]
 
 
 def make_run_id(prefix: str = "records", now: datetime | None = None) -> str:
@@ -60,7 +60,7 @@ def _decoded(name: str) -> Column:
     return F.url_decode(F.replace(F.col(name), F.lit("+"), F.lit("%2B")))
 
 
-def _pieces(spark: SparkSession, inputs: Inputs, blank: bool) -> DataFrame:
+def _pieces(spark: SparkSession, inputs: Cuts, blank: bool) -> DataFrame:
     """Pieces of text with file, block start and an id that rises in reading order.
 
     Without blank ones, ids count the pieces that are not.
@@ -119,18 +119,18 @@ def _one_form(path: str) -> str:
     return re.sub(r"\A(\w+):/+", r"\1:/", path)
 
 
-def _counted(spark: SparkSession, files: list[str], patterns: list[str], usual: str) -> tuple[DataFrame, Inputs]:
+def _counted(spark: SparkSession, given: Inputs, usual: str) -> tuple[DataFrame, Cuts]:
     """Counts of all blocks, staged, and the kind of pieces that each file is cut into."""
 
-    def count(inputs: Inputs) -> DataFrame:
+    def count(inputs: Cuts) -> DataFrame:
         return stage(_block_counts(_pieces(spark, inputs, blank=True), usual), "csv-blocks")
 
-    inputs: Inputs = [("\n", patterns)]
+    inputs: Cuts = [("\n", given.patterns)]
     blocks = count(inputs)
     at_cr = [row.path for row in blocks.where(F.col("most_crs") >= CR_RUN).select("path").distinct().collect()]
     if at_cr:
         turned = {_one_form(path) for path in at_cr}
-        rest = [f for f in files if _one_form(re.sub(r"\\(.)", r"\1", f)) not in turned]
+        rest = [f for f in given.files() if _one_form(re.sub(r"\\(.)", r"\1", f)) not in turned]
         inputs = [i for i in (("\n", rest), ("\r", [literal_path(path) for path in at_cr])) if i[1]]
         blocks = count(inputs)
     return blocks, inputs
@@ -454,11 +454,11 @@ def scan_shift_logs(
     A field of more than ``field_limit`` characters is an error, however it is written.
     """
     patterns = [paths] if isinstance(paths, str) else list(paths)
-    files, patterns = input_files(spark, patterns)
+    given = input_files(spark, patterns)
     _pin_splits(spark)
-    first = spark.read.option("lineSep", "\n").text(files[0])
+    first = spark.read.option("lineSep", "\n").text(given.first)
     usual_header = first.select(_first_line(F.col("value"))).first()[0]
-    blocks, inputs = _counted(spark, files, patterns, usual_header)
+    blocks, inputs = _counted(spark, given, usual_header)
     pieces = _pieces(spark, inputs, blank=True)
     headers, n_blocks = _headers(pieces, blocks, usual_header)
     facts = _check_headers(headers, unique_names)

@@ -8,7 +8,7 @@ import pytest
 
 from shiftledger.schemas import RAW_SCHEMA, SOURCE_COLUMNS
 from shiftledger.sources import shift_csv
-from shiftledger.sources.files import check_header
+from shiftledger.sources.files import check_header, input_files
 from shiftledger.sources.shift_csv import make_run_id, read_shift_logs, scan_shift_logs
 
 from .logs import NAMESPACE
@@ -274,6 +274,44 @@ def test_path_guard(spark, tmp_path):
     assert scan_shift_logs(spark, upper).count() == 1
 
 
+def test_listing_names_what_is_no_file(spark, tmp_path):
+    """Folders and hidden files among the matches of a pattern, empty files, nothing at all."""
+    write(tmp_path, "a.csv", HEADER + "\nd,A,L,1,2,3,4,r,o,s\n")
+    pattern = f"{tmp_path}/*.csv"
+    assert input_files(spark, [pattern]).patterns == [pattern]
+    for i in range(2):  # a folder with one file counts like a file
+        (tmp_path / "dir.csv").mkdir(exist_ok=True)
+        if i:
+            write(tmp_path / "dir.csv", "part.csv", HEADER + "\n")
+        with pytest.raises(ValueError, match="dir.csv is a folder"):
+            input_files(spark, [pattern])
+    other = tmp_path / "other"
+    other.mkdir()
+    write(other, "b.csv", HEADER + "\n")
+    write(other, "_b.csv", HEADER + "\n")
+    with pytest.raises(ValueError, match="does not read files named like .*_b.csv"):
+        input_files(spark, [f"{other}/*.csv"])
+    with pytest.raises(ValueError, match="nothing found at .*gone"):
+        input_files(spark, [f"{other}/gone*.csv"])
+    with pytest.raises(ValueError, match="header row is missing or empty. .*/empty.csv"):
+        input_files(spark, [write(tmp_path, "empty.csv", "")])
+    assert len(input_files(spark, [f"{other}/{{b,c}}.csv", f"{other}/[a-b].csv", f"{other}/?.csv"]).files()) == 1
+
+
+def test_many_files_are_listed_without_a_call_for_each(spark, tmp_path):
+    for i in range(3_000):
+        (tmp_path / f"log{i}.csv").write_text("x")
+    calls = []
+    gateway = spark.sparkContext._gateway._gateway_client
+    send = gateway.send_command
+    gateway.send_command = lambda *a, **k: calls.append(a) or send(*a, **k)
+    try:
+        found = input_files(spark, [f"{tmp_path}/*.csv"])
+    finally:
+        gateway.send_command = send
+    assert found.listing.count() == 3_000 and len(calls) < 500
+
+
 def test_same_base_name_needs_the_path(spark, tmp_path):
     for folder in ("a", "b"):
         (tmp_path / folder).mkdir()
