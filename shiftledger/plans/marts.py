@@ -61,10 +61,10 @@ _RECORD_LEVEL = {"shift_log_validated_dedup", "shift_log_kpi", "v_shift_log_kpi_
 def build_marts(validated: DataFrame, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """The views over a validated table, or the named ones with their upstream.
 
-    Calling this starts jobs. Record-level views stay lazy. What several views would compute again is computed once and
+    Calling this starts jobs; inside a ``lease`` what they stage is removed when it ends. Record-level views stay lazy. What several views would compute again is computed once and
     staged as a columnar table in the shared work area: the deduplicated rows, which
     up to eight views read (where only aggregated views are asked for: the eight columns of the
-    KPI rows that these read), and the sums of all groupings of the KPI rows. Aggregated quality
+    KPI rows that these read), and the sums of the wanted groupings of the KPI rows. Aggregated quality
     views are staged too, since a dashboard and the checks read them several times.
     """
     wanted = list(UPSTREAM if names is None else names)
@@ -83,7 +83,9 @@ def build_marts(validated: DataFrame, names: Iterable[str] | None = None) -> dic
     measured = kpi
     if len(of_kpi) > 1 and not whole_records:
         measured = stage(kpi.select(*_OF_KPI_ROWS), "kpi")
-    rollups = stage(ops.kpi_rollups(measured), "rollups") if len(groupings) > 1 else None
+    rollups = None
+    if len(groupings) > 1:
+        rollups = stage(ops.kpi_rollups(measured, [_GROUPINGS[name] for name in groupings]), "rollups")
 
     def view(name: str) -> DataFrame:
         if name == "stg_shift_log_validated":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -174,13 +176,15 @@ _ROLLUP_KEYS = ("line", "shift", "date")
 _ROLLUP_IDS = {(): 7, ("line",): 3, ("shift",): 5, ("line", "shift"): 1, ("date",): 6}
 
 
-def kpi_rollups(kpi: DataFrame) -> DataFrame:
-    """Sums for the summary, line, shift, line and shift, and date views in a single pass.
+def kpi_rollups(
+    kpi: DataFrame, keys_of_views: Iterable[tuple[str, ...]] = tuple(_ROLLUP_IDS)
+) -> DataFrame:
+    """Sums for several of the summary, line, shift, line and shift, and date views in a single pass.
 
-    Reading the rows is what costs, so five groupings are worth it as soon as two are wanted.
-    The result is small and meant to be staged; ``rollup_view`` takes single views from it.
+    Only the groupings asked for are computed. The result is small and meant to be staged;
+    ``rollup_view`` takes single views from it.
     """
-    groupings = [[F.col(c) for c in keys] for keys in _ROLLUP_IDS]
+    groupings = [[F.col(c) for c in keys] for keys in keys_of_views]
     return kpi.groupingSets(groupings, *[F.col(c) for c in _ROLLUP_KEYS]).agg(
         F.grouping_id().alias("grouping"),
         F.count(F.lit(1)).alias("shift_count"),

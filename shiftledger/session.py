@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,13 +33,40 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{work_area(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_leased: ContextVar[tuple[list[str], ...]] = ContextVar("leased", default=())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def lease(spark: SparkSession) -> Iterator[list[str]]:
+    """Owns the tables staged inside the ``with`` block and removes them at its end, also after an error.
+
+    What is returned from the block must not read them any more: collect or write it inside. Leases
+    may lie in one another; a table belongs to the innermost. Outside of any lease tables stay.
+    """
+    folders: list[str] = []
+    token = _leased.set((*_leased.get(), folders))
+    try:
+        yield folders
+    finally:
+        _leased.reset(token)
+        for path in folders:
+            remove_folder(spark, path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the work area and read it back.
 
     Cuts the lineage like a checkpoint and survives lost executors, but stays columnar, so
-    each later reader prunes to the columns it needs.
+    each later reader prunes to the columns it needs. A ``lease`` removes it again.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
+    if _leased.get():
+        _leased.get()[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
