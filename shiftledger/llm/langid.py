@@ -1,7 +1,9 @@
 """Language identification: known words by their log frequency, others by ever shorter n-grams.
 
 The model counts words and character n-grams (with the word's ends) by language on at most
-``TRAIN_DOCS`` documents of known language. A word of a text scores ``log p(word | language)`` if
+``TRAIN_DOCS`` whole documents of known language and ``TRAIN_CHARS`` characters, equally many of each
+language that has enough; how frequent a language is, is counted over all documents. It knows the
+``KNOWN_WORDS`` most frequent words and as many n-grams of each length. A word of a text scores ``log p(word | language)`` if
 the model knows it. If not, its n-grams of the greatest length of which it knows any count, down to
 single characters. A text's language has the greatest sum; its score is the posterior of that
 language with the evidence of a text tempered to ``EVIDENCE_WORDS`` words at most.
@@ -26,7 +28,8 @@ from .sampling import labelled_sample
 from .texts import LOWER, as_bytes, joined, pair_hashes, prefix_sums, slices, span_hashes, text_of
 
 TRAIN_DOCS = 5_000
-TRAIN_CHARS = 50_000
+#: Characters of all training texts together.
+TRAIN_CHARS = 48_000_000
 KNOWN_WORDS = 100_000
 KNOWN_GRAMS = 100_000
 LONGEST_GRAM = 5
@@ -153,13 +156,16 @@ def _table(hashes: np.ndarray, language: np.ndarray, weight: np.ndarray, n: int,
     return keys[keep], log_p[keep]
 
 
-def fit(sample: pd.DataFrame, known_words: int = KNOWN_WORDS, known_grams: int = KNOWN_GRAMS) -> Model | None:
-    """A model from rows of ``text, lang``."""
+def fit(
+    sample: pd.DataFrame, counts: dict[str, int] | None = None, known_words: int = KNOWN_WORDS, known_grams: int = KNOWN_GRAMS
+) -> Model | None:
+    """A model from rows of ``text, lang``; languages are as frequent as ``counts`` says, else as in the rows."""
     if not len(sample):
         return None
     languages = sorted(sample["lang"].unique())
     of = sample["lang"].map({name: k for k, name in enumerate(languages)}).to_numpy()
-    prior = np.log(np.bincount(of, minlength=len(languages)) / len(of))
+    n_of = np.array([counts[name] for name in languages]) if counts else np.bincount(of, minlength=len(languages))
+    prior = np.log(n_of / n_of.sum())
     texts = [t.encode() for t in sample["text"]]
     keys, hashes, language, count, words = [], [], [], [], []
     for lo, hi in slices(texts):
@@ -210,6 +216,6 @@ def language_column(text: Column, model: Model | None) -> Column:
     return F.arrow_udf(identify, "struct<lang:string,score:double>")(text)
 
 
-def fit_on(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
+def fit_on(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_chars: int = TRAIN_CHARS) -> Model | None:
     """A model from the rows of ``docs`` that have a language and are not held out."""
-    return fit(labelled_sample(docs, docs, train_docs, TRAIN_CHARS, "lang"))
+    return fit(*labelled_sample(docs, docs, train_docs, train_chars, "lang", group="lang"))
