@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .packing import tokenizer_path
-from .texts import as_bytes, give_back, slices
+from .texts import as_bytes, giving_back, slices
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
@@ -298,6 +298,7 @@ _ALIGNED = (
 
 
 def _align_batches(tokenizer_a: str, tokenizer_b: str):
+    @giving_back
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _tokenizer(_ByteBPE, tokenizer_a), _tokenizer(_Pieces, tokenizer_b)
         nth = 0
@@ -309,7 +310,6 @@ def _align_batches(tokenizer_a: str, tokenizer_b: str):
                 found["nth"] = pa.array(np.arange(nth, nth + hi - lo))
                 nth += hi - lo
                 yield pa.RecordBatch.from_arrays(list(found.values()), list(found))
-        give_back()
 
     return align
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .texts import as_bytes, give_back
+from .texts import as_bytes, giving_back
 
 WINDOW = 4096
 END_ID = 2
@@ -136,10 +136,13 @@ def token_ids(texts: list[bytes], tokenizer: str) -> list[np.ndarray]:
     return [all_ids[a:b] for a, b in zip(word_ends[:-1].tolist(), word_ends[1:].tolist())]
 
 
+#: Texts cut into words at once.
+SLICE_BYTES = 1 << 21
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, nth bigint"
 
 
 def _piece_batches(window: int, end_id: int, tokenizer: str):
+    @giving_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nth = 0
         for batch in batches:
@@ -148,7 +151,7 @@ def _piece_batches(window: int, end_id: int, tokenizer: str):
             lo = 0
             while lo < len(texts):
                 hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= 1 << 22):
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= SLICE_BYTES):
                     size += len(texts[hi])
                     hi += 1
                 rows = []
@@ -163,7 +166,6 @@ def _piece_batches(window: int, end_id: int, tokenizer: str):
                     [pa.array(c, pa.int64()) for c in zip(*rows)],
                     ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "nth"],
                 )
-        give_back()
 
     return cut
 

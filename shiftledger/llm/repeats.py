@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .texts import SLICE_BYTES, as_bytes, joined, pair_hashes, prefix_sums, slices, span_hashes
+from .texts import SLICE_BYTES, as_bytes, give_back, giving_back, joined, pair_hashes, prefix_sums, slices, span_hashes
 
 LENGTH = 100
 GRAM = 32
@@ -116,6 +116,7 @@ def _segment_batches(length: int, gram: int, hot: np.ndarray):
     ``at`` holds the begin and the number of strings. A span has no strings, and its length in ``seg``.
     """
 
+    @giving_back
     def segment(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, null = _id_order(batch.column("doc_id"))
@@ -169,6 +170,7 @@ def _settle_batches(length: int):
     Only the first row of the current anchor is held back, until a second segment of it appears.
     """
 
+    @giving_back
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key = last_seg = held = None
         several = False
@@ -293,6 +295,7 @@ def repeated_windows(
 def _compare_batches(length: int):
     """Over segments in the order of key and document: spans of strings that occur earlier."""
 
+    @giving_back
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
@@ -347,7 +350,9 @@ def _packed(text: Column) -> Column:
     @F.arrow_udf("binary")
     def pack(texts: pa.Array) -> pa.Array:
         squeeze = zstandard.ZstdCompressor(level=3)
-        return pa.array([squeeze.compress(t) for t in as_bytes(texts)], pa.binary())
+        packed = pa.array([squeeze.compress(t) for t in as_bytes(texts)], pa.binary())
+        give_back()
+        return packed
 
     return pack(text)
 
@@ -356,6 +361,7 @@ def _unpack(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
+@giving_back
 def _fetch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the segments asked for in each document."""
     for batch in batches:
@@ -485,7 +491,10 @@ def _cut(text: pa.Array, spans: pa.Array) -> pa.Array:
             out.append(whole.as_py())
         else:
             out.append(_kept(whole.as_py().encode(), *_spans_of(found)).decode(errors="ignore"))
-    return pa.array(out, pa.string())
+    cut = pa.array(out, pa.string())
+    del out, text, spans
+    give_back()
+    return cut
 
 
 def removal_digest(docs: DataFrame, **settings) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .components import connected_components
-from .texts import as_bytes
+from .texts import as_bytes, giving_back
 
 SHINGLE_WORDS = 4
 DISTANCE = 4
@@ -125,6 +125,7 @@ def _spanning_links(keys: np.ndarray, fps: np.ndarray, distance: int) -> tuple[n
 
 
 def _link_batches(distance: int):
+    @giving_back
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_keys, held_fps = np.empty(0, np.int64), np.empty(0, np.uint64)
 
