@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# fixed value: namespace of the business keys in all registered queries
-NAMESPACE = "7f1736ae-e013-402b-85e2-36b72055058d"
+# namespace of the business keys in all registered queries; any other would do
+NAMESPACE = "3d1c5a60-2f0b-4c7e-9a51-6b8e0f4d2c17"
 
 FX_SQL = """
 WITH b AS (

@@ -22,7 +22,7 @@ def test_single_checks(spark):
     assert [r.n_rows for r in checks.unique(stg, "shift_log_id").collect()] == [2]
     assert [tuple(r) for r in checks.accepted_values(stg, "shift").collect()] == [("D", 1)]
     combos = checks.unique_combination(stg, ["shift", "line"]).collect()
-    assert [tuple(r) for r in combos] == [("A", "Line1", 2)]
+    assert [tuple(r) for r in combos] == [("A", "Saw 1", 2)]
 
 
 def test_one_to_one(spark):

@@ -79,10 +79,10 @@ def test_written_values_are_read_back(spark, dates, numbers):
 
 
 UUIDS = {
-    "2026-01-05|A|Line1": "20a136f4-ae5a-555a-81dc-b4df7e9fe177",
-    "2026-01-05|B|Line1": "1040553b-21ae-560c-b5af-3146246bf756",
-    "2026-12-31|C|Line 4": "b9bd70c8-ee7a-5749-8d84-7e9611ff8dab",
-    "2024-02-29|A|Liné2": "ab8fc48d-de84-5530-b43e-db29d91fc854",
+    "2026-01-05|A|Saw 1": "9bc71558-e071-5697-8c71-b6c9986594f3",
+    "2026-01-05|B|Saw 1": "82fef11d-79dd-51b6-b3c2-9c04d84fa5be",
+    "2026-12-31|C|Saw 4": "4737f6e0-db06-5358-bdab-899db60f2b64",
+    "2024-02-29|A|Säge 2": "b3669f59-392f-5127-a636-e0e954c01f83",
 }
 
 
@@ -96,10 +96,10 @@ def test_uuid_v5(spark):
 @pytest.mark.parametrize(
     "date, shift, line, expected",
     [
-        ("2026-01-05", "A", "Line1", UUIDS["2026-01-05|A|Line1"]),
-        (None, "A", "Line1", None),
-        ("2026-01-05", "D", "Line1", None),
-        ("2026-01-05", None, "Line1", None),
+        ("2026-01-05", "A", "Saw 1", UUIDS["2026-01-05|A|Saw 1"]),
+        (None, "A", "Saw 1", None),
+        ("2026-01-05", "D", "Saw 1", None),
+        ("2026-01-05", None, "Saw 1", None),
         ("2026-01-05", "A", None, None),
         ("2026-01-05", "A", "  ", None),
     ],

@@ -188,7 +188,7 @@ def test_kpi_without_dedup(spark):
     rows = operations.kpi_without_dedup(validated_logs(spark, {}, {"shift": "D"}))
     row = rows.first()
     assert rows.count() == 1 and "is_valid" not in rows.columns
-    assert row.production_achievement == 0.95 and row.downtime_rate == 10 / 480
+    assert row.production_achievement == 0.95 and row.downtime_rate == 24 / 480
 
 
 def test_aggregated_views_stage_few_columns(spark, tmp_path):

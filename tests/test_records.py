@@ -17,7 +17,7 @@ def test_valid_record(spark):
     rows = by_row(
         validated_logs(spark, {}), "is_valid", "invalid_reason", "is_duplicate", "shift_log_id"
     )
-    assert rows == [(True, [], False, "20a136f4-ae5a-555a-81dc-b4df7e9fe177")]
+    assert rows == [(True, [], False, "9bc71558-e071-5697-8c71-b6c9986594f3")]
 
 
 def test_each_rule_text(spark):
@@ -27,7 +27,7 @@ def test_each_rule_text(spark):
         S.PLANNED_OUTPUT_BAD: {"planned_output": "0"},
         S.ACTUAL_OUTPUT_BAD: {"actual_output": None},
         S.DEFECT_QTY_BAD: {"defect_qty": "-1"},
-        S.DEFECT_OVER_ACTUAL: {"defect_qty": "96"},
+        S.DEFECT_OVER_ACTUAL: {"defect_qty": "609"},
         S.DOWNTIME_BAD: {"downtime_min": "x"},
         S.DOWNTIME_OVER_LIMIT: {"downtime_min": "481"},
         S.SHIFT_BAD: {"shift": "D"},
@@ -132,7 +132,7 @@ def test_result_does_not_depend_on_partitioning(spark):
 def test_production_date_rule_on_text(spark):
     df = flag_duplicates(normalize_records(raw_logs(spark, {}, {"line": "2"}, {"line": "3"})))
     texts = F.create_map(
-        F.lit("Line1"), F.lit("2026-01-05"), F.lit("2"), F.lit("05.01.2026"), F.lit("3"), F.lit("2026-02-30")
+        F.lit("Saw 1"), F.lit("2026-01-05"), F.lit("2"), F.lit("05.01.2026"), F.lit("3"), F.lit("2026-02-30")
     )
     df = df.withColumn("production_date", texts[F.col("line")])
     got = [r for (r,) in by_row(validate(df), "invalid_reason")]
