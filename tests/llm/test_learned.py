@@ -51,6 +51,27 @@ def test_toxicity_on_held_out_rows(spark):
     assert found[toxic == 1].mean() >= 0.75 and found[toxic == 0].mean() <= 0.02
 
 
+def test_toxicity_learns_from_rows_beyond_the_first_ones(spark, monkeypatch):
+    """Every bad word is in two of the first examples at most, too few to learn it from them."""
+    monkeypatch.setattr(toxicity, "PART_DOCS", 400)
+    filler = "the press ran well after lunch and the belt was cleaned before noon by us".split()
+    rows = []
+    for i in range(1600):
+        words = [filler[(i * 7 + j * j) % len(filler)] for j in range(9)]
+        bad = f"zorg{i // 2 % 8}vile" if i % 2 else "calm"
+        rows.append((i, " ".join([*words[:4], bad, *words[4:]]), "en", i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    model = toxicity.fit_on(docs.drop("toxic"), docs.select("doc_id", "toxic"), train_docs=16)
+    scores = model.scores([f"{' '.join(filler[:6])} zorg{k}vile".encode() for k in range(8)] + [b" ".join(w.encode() for w in filler)])
+    assert (scores[:8] >= toxicity.CUT).all() and scores[8] < toxicity.CUT
+
+
+def test_thresholds_from_counts():
+    logits, toxic = np.array([3.0, 2, 1, 0]), np.array([1, 1, 0, 0])
+    assert toxicity._best_cut(logits, toxic * 5, np.full(4, 5)) == toxicity._best_cut(logits, toxic) == 1.5
+    assert toxicity._best_cut(logits, np.array([1, 0, 9, 0]), np.array([1, 1, 10, 90])) == 0.5
+
+
 def test_toxicity_of_odd_rows(odd_docs, no_docs, odd_labels):
     for labels in (odd_labels, odd_labels.limit(0)):
         model = toxicity.fit_on(odd_docs, labels)
