@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# a sign no reason text has
+_BETWEEN = "\x1f"
+
+
 def no_reasons() -> Column:
     return F.array().cast("array<string>")
 
@@ -22,12 +26,17 @@ def assemble_reasons(conditions: Mapping[str, Column]) -> Column:
 
     The texts are known when the plan is built and each occurs once, so ordering them here
     makes every row's array sorted and distinct without a per-row sort. Rows without any
-    finding, the great majority, skip the array expression.
+    finding, the great majority, skip the array expression. It is cut out of a joined text, which unlike
+    ``array_compact`` stays in generated code.
     """
     if not conditions:
         return no_reasons()
     ordered = [F.when(conditions[text], F.lit(text)) for text in sorted(conditions)]
-    return F.when(any_of(conditions), F.array_compact(F.array(*ordered))).otherwise(no_reasons())
+    if any(_BETWEEN in text for text in conditions):
+        found = F.array_compact(F.array(*ordered))
+    else:
+        found = F.split(F.concat_ws(_BETWEEN, *ordered), _BETWEEN)
+    return F.when(any_of(conditions), found).otherwise(no_reasons())
 
 
 def any_of(conditions: Mapping[str, Column]) -> Column:

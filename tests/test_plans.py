@@ -6,6 +6,8 @@ from querybook.frames import kpi, staged, stored_raw, stored_validated, validate
 from querybook.queries import check_suite
 from shiftledger.operators import dedup_latest
 from shiftledger.plans import operations
+from shiftledger.functions import assemble_reasons
+from shiftledger.operators import flag_duplicates
 from shiftledger.plans.measures import report_filter
 
 
@@ -77,3 +79,22 @@ def test_check_suite_scans(spark, sf_dir):
     plan = plan_of(check_suite(spark, sf_dir))
     assert plan.count("FileScan") <= 14 and "NestedLoop" not in plan
     assert plan.count("Exchange hashpartitioning(number") == 2
+
+
+def test_duplicate_flag_moves_rows_once(spark):
+    """Hot keys are sent to the rows, so neither the pass for them nor the join with them shuffles rows."""
+    rows = spark.range(9).selectExpr(
+        "'r' run_id", "'f' source_file", "CAST(id % 4 AS STRING) date", "'A' shift", "'L' line", "id row_number", "CAST(id AS STRING) row_id"
+    )
+    flagged = flag_duplicates(rows)
+    plan = flagged._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert sorted(r.row_number for r in flagged.collect() if r.is_duplicate) == [4, 5, 6, 7, 8]
+
+
+def test_reasons_stay_in_generated_code(spark):
+    parts = {t: F.col("id") % n == 0 for t, n in (("even", 2), ("a, b", 3))}
+    found = spark.range(4).select(assemble_reasons(parts).alias("r"))
+    assert "filter(" not in plan_of(found) and [r.r for r in found.collect()] == [["a, b", "even"], [], ["even"], ["a, b"]]
+    odd = spark.range(1).select(assemble_reasons({"x\x1fy": F.lit(True), "z": F.lit(True)}).alias("r"))
+    assert odd.first().r == ["x\x1fy", "z"]
