@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import uuid_v5
 from ..schemas import RAW_SCHEMA, REQUIRED_COLUMNS, SOURCE_COLUMNS
-from ..session import stage
+from ..session import dealt, stage
 from .csv_states import fields_of, has_break, is_blank, opens, records_of, stays, without_cr
 from .files import NO_HEADER, Inputs, check_header, input_files, literal_path
 
@@ -37,6 +37,9 @@ from .files import NO_HEADER, Inputs, check_header, input_files, literal_path
 BROADCAST_BLOCKS = 1_000_000
 # fixed value: largest field in characters
 FIELD_LIMIT = 131_072
+# Bytes of pieces one task sorts by block, each with so many bytes besides its text.
+TASK_BYTES = 128 << 20
+PIECE_BYTES = 150
 #: Lone CRs in one piece from which on a file is cut at CR.
 CR_RUN = 1_000
 
@@ -146,6 +149,7 @@ def _headers(pieces: DataFrame, blocks: DataFrame, usual_header: str) -> tuple[D
     files = blocks.groupBy("path", "name", "end").agg(
         F.count(F.lit(1)).alias("n_blocks"),
         (F.sum("n_irregular") > 0).alias("irregular"),
+        F.sum(F.col("n_bytes") + PIECE_BYTES * F.col("n_pieces")).alias("weight"),
         # a byte-order mark of three bytes is not part of the first piece
         left.isin(0, 3).alias("ended"),
         F.max(F.when(F.col("block") == 0, F.col("first_mid"))).alias("header_mid"),
@@ -166,7 +170,17 @@ def _headers(pieces: DataFrame, blocks: DataFrame, usual_header: str) -> tuple[D
         headed = files.join(others, "path", "left").withColumn(
             "header", F.coalesce("other", F.lit(usual_header))
         )
-    headers = headed.select("path", "name", "end", "irregular", "ended", "header", fields_of(F.col("header")).alias("fields"))
+    headers = headed.select(
+        "path",
+        "name",
+        "end",
+        "irregular",
+        "ended",
+        "weight",
+        "header",
+        fields_of(F.col("header")).alias("fields"),
+        F.monotonically_increasing_id().alias("file"),
+    )
     return stage(headers, "csv-headers"), counts.blocks
 
 
@@ -188,6 +202,7 @@ def _check_headers(headers: DataFrame, unique_names: bool) -> Row:
         F.bool_or("irregular").alias("any_irregular"),
         F.bool_and("irregular").alias("all_irregular"),
         F.count(F.lit(1)).alias("n_files"),
+        F.sum(F.when(F.col("irregular"), F.col("weight"))).alias("weight"),
     ).first()
 
     def example(name: str) -> Row:
@@ -225,7 +240,9 @@ def _layout(headers: DataFrame) -> DataFrame:
         return F.when(found > 0, F.size("fields") - found + 1).otherwise(F.lit(0)).cast("int")
 
     return headers.select(
+        "file",
         "path",
+        "name",
         "end",
         "irregular",
         "ended",
@@ -293,17 +310,23 @@ def _state_from(start: bool) -> Column:
     return F.coalesce(F.col("_last_set"), F.lit(start)) != F.col("_odd")
 
 
-def _irregular_records(pieces: DataFrame, blocks: DataFrame, files: DataFrame, n: int, limit: int) -> DataFrame:
-    """Records of files with line breaks in quotes or of another kind."""
+def _irregular_records(pieces: DataFrame, files: DataFrame, n: int, limit: int, weight: int) -> DataFrame:
+    """Records of files with line breaks in quotes or of another kind.
+
+    Pieces are exchanged and sorted under the number of their file, which is shorter than its path.
+    """
     chosen = files.where(F.col("irregular")).drop("irregular")
-    in_block = Window.partitionBy("path", "block").orderBy("mid")
+    in_block = Window.partitionBy("file", "block").orderBy("mid")
     running = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = pieces.join(_bounded(chosen.select("path"), n), "path").withColumns(
-        {"opens": opens(F.col("piece")), "stays": stays(F.col("piece"))}
+    marked = (
+        pieces.join(_bounded(chosen.select("path", "file"), n), "path")
+        .drop("path", "name", "file_size", "end")
+        .withColumns({"opens": opens(F.col("piece")), "stays": stays(F.col("piece"))})
     )
     for start, inside in ((0, False), (1, True)):
         begun = F.size(records_of(F.col("piece"), F.lit(inside))) - start
         marked = marked.withColumn(f"own{start}", begun)
+    marked = dealt(marked, min(n, -(-weight // TASK_BYTES)), "file", "block")
     marked = _fold_quote_states(marked, "opens", "stays", in_block)
     for start in (0, 1):
         marked = (
@@ -312,13 +335,11 @@ def _irregular_records(pieces: DataFrame, blocks: DataFrame, files: DataFrame, n
             .withColumn(f"begun{start}", F.when(F.col(f"inside{start}"), F.col("own1")).otherwise(F.col("own0")))
             .withColumn(f"count{start}", F.sum(f"begun{start}").over(running))
         )
-    marked = stage(
-        marked.drop("opens", "stays", "own0", "own1", "_last_set", "_odd", "file_size", "end"), "csv-pieces"
-    )
+    marked = stage(marked.drop("opens", "stays", "own0", "own1", "_last_set", "_odd"), "csv-pieces")
 
-    in_file = Window.partitionBy("path").orderBy("block")
+    in_file = Window.partitionBy("file").orderBy("block")
     earlier = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    ends = marked.groupBy("path", "block").agg(
+    ends = marked.groupBy("file", "block").agg(
         *[F.max(f"count{s}").alias(f"records{s}") for s in (0, 1)],
         *[F.max_by(f"after{s}", "mid").alias(f"end{s}") for s in (0, 1)],
     )
@@ -328,18 +349,18 @@ def _irregular_records(pieces: DataFrame, blocks: DataFrame, files: DataFrame, n
         .withColumn("begun", F.lag("state", 1, False).over(in_file))
         .withColumn("own", F.when(F.col("begun"), F.col("records1")).otherwise(F.col("records0")))
         .select(
-            "path",
+            "file",
             "block",
             "begun",
             F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("before"),
         )
-        .join(chosen, "path")
+        .join(chosen, "file")
     )
 
     def by_state(name: str) -> Column:
         return F.when(F.col("begun"), F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
 
-    numbered = marked.join(_bounded(placed, n), ["path", "block"]).select(
+    numbered = marked.join(_bounded(placed, n), ["file", "block"]).select(
         "path",
         "name",
         "block",
@@ -467,7 +488,7 @@ def scan_shift_logs(
     if not facts.all_irregular:
         parts.append(_regular_records(_pieces(spark, inputs, blank=False), blocks, layout, n_blocks))
     if facts.any_irregular:
-        parts.append(_irregular_records(pieces, blocks, layout, n_blocks, field_limit))
+        parts.append(_irregular_records(pieces, layout, n_blocks, field_limit, facts.weight))
     records = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return _parsed(records, field_limit)
 

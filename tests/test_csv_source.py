@@ -5,6 +5,7 @@ import re
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from shiftledger.schemas import RAW_SCHEMA, SOURCE_COLUMNS
 from shiftledger.sources import shift_csv
@@ -151,6 +152,25 @@ def test_records_that_end_in_cr(spark, tmp_path, split_size):
     assert scanned(spark, paths) == expected(*paths)
 
 
+def test_task_of_pieces_is_bounded(spark, tmp_path, monkeypatch):
+    """More text is dealt to more tasks than the session's 8 shuffle partitions, without its files' paths."""
+    staged = {}
+
+    def stage(df, name):
+        staged[name] = before(df, name)
+        return staged[name]
+
+    before = shift_csv.stage
+    monkeypatch.setattr(shift_csv, "stage", stage)
+    monkeypatch.setattr(shift_csv, "TASK_BYTES", 20_000)
+    paths = [write(tmp_path, f"f{i}.csv", HEADER + "\n" + "".join(messy_rows(40))) for i in range(60)]
+    assert scanned(spark, paths) == expected(*paths)
+    pieces = staged["csv-pieces"]
+    assert not {"path", "name"} & set(pieces.columns)
+    assert pieces.select("_metadata.file_path").distinct().count() > 15
+    assert pieces.groupBy("file", "block").agg(F.count_distinct("_metadata.file_path").alias("n")).where("n > 1").isEmpty()
+
+
 def test_open_quote_keeps_its_last_line_break(spark, tmp_path):
     for i, end in enumerate(["", "\n", "\r\n", "\r"]):
         path = write(tmp_path, f"open{i}.csv", HEADER + '\nd,A,L,1,2,3,4,"left open' + end)
