@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import dealt
+
 # A key with more rows than this is settled by aggregation instead of a window, so no
 # window group grows past the order of HOT_ROWS rows (about half a gigabyte).
 HOT_ROWS = 2_000_000
 # Share of rows looked at to find such keys. It only decides which of two exact ways a key
 # takes: a key of HOT_ROWS rows shows up 20,000 times, far from the half used as threshold.
 PROBE_FRACTION = 0.01
+# Rows one task of the window sorts, about a hundred megabytes of raw records.
+TASK_ROWS = 250_000
 
 
 def _usable(keys: Sequence[str]) -> Column:
@@ -60,7 +64,8 @@ def flag_duplicates(
     The key is compared as exact text. "First" means the smallest ``row_number``, whether or
     not that record is valid. Ordinary keys take one window; keys too large for one task get
     the flag from a join with their first row, in the same order. Records that cannot be duplicates (unusable
-    or hot key) are spread by their row number, so they never form a group of their own.
+    or hot key) are spread by their row number, so they never form a group of their own. The rows are
+    counted when this is called, so that tasks of the window keep to ``TASK_ROWS`` or so however many there are.
     """
     group = [*scope, *keys]
     usable = _usable(keys)
@@ -72,12 +77,12 @@ def flag_duplicates(
     ).drop(*[f"hot_{c}" for c in group])
     settled = ~usable | F.col("first_row").isNotNull()
     spread = F.when(settled, F.col("row_number")).otherwise(F.lit(-1))
-    position = F.row_number().over(
-        Window.partitionBy(*group, spread).orderBy("row_number", "row_id")
-    )
+    alike = [*group, "_spread"]
+    marked = dealt(marked.withColumn("_spread", spread), -(-df.count() // TASK_ROWS), *alike)
+    position = F.row_number().over(Window.partitionBy(*alike).orderBy("row_number", "row_id"))
     repeated = (
         F.when(~usable, F.lit(False))
         .when(F.col("first_row").isNotNull(), F.struct("row_number", "row_id") > F.col("first_row"))
         .otherwise(position > 1)
     )
-    return marked.withColumn("is_duplicate", repeated).drop("first_row")
+    return marked.withColumn("is_duplicate", repeated).drop("first_row", "_spread")

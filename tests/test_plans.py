@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from querybook.frames import kpi, staged, stored_raw, stored_validated, validated
 from querybook.queries import check_suite
-from shiftledger.operators import dedup_latest
+from shiftledger.operators import dedup_latest, duplicates
 from shiftledger.plans import operations
 from shiftledger.functions import assemble_reasons
 from shiftledger.operators import flag_duplicates
@@ -98,3 +98,16 @@ def test_reasons_stay_in_generated_code(spark):
     assert "filter(" not in plan_of(found) and [r.r for r in found.collect()] == [["a, b", "even"], [], ["even"], ["a, b"]]
     odd = spark.range(1).select(assemble_reasons({"x\x1fy": F.lit(True), "z": F.lit(True)}).alias("r"))
     assert odd.first().r == ["x\x1fy", "z"]
+
+
+def test_duplicate_flag_bounds_the_rows_of_a_task(spark, monkeypatch):
+    """More rows are dealt to more tasks; the session's 8 shuffle partitions do not bound them."""
+    rows = spark.range(3000).selectExpr(
+        "'r' run_id", "'f' source_file", "CAST(id % 1500 AS STRING) date", "'A' shift", "'L' line", "id row_number", "CAST(id AS STRING) row_id"
+    )
+    monkeypatch.setattr(duplicates, "TASK_ROWS", 100)
+    flagged = flag_duplicates(rows)
+    assert flagged.columns == [*rows.columns, "is_duplicate"]
+    tasks = flagged.groupBy(F.spark_partition_id()).count().collect()
+    assert 20 < len(tasks) <= 30 and max(n for _, n in tasks) < 250
+    assert sorted(r.row_number for r in flagged.collect() if r.is_duplicate) == list(range(1500, 3000))
